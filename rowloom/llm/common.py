@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Scratch
 from .plainform import words
 
 #: A visible character: neither white space nor invisible.
@@ -61,7 +62,7 @@ def class_of(sorted_words: list[str]) -> int:
     return hash_word("\x00".join(sorted_words))
 
 
-def frequent_words(texts: DataFrame, share: float) -> np.ndarray:
+def frequent_words(texts: DataFrame, share: float, scratch: Scratch) -> np.ndarray:
     """Hashes of the words that more than `share` of the texts hold, counted over all of them.
 
     A text with w words can make at most w / share words frequent on average, so the result stays at the mean
@@ -79,10 +80,10 @@ def frequent_words(texts: DataFrame, share: float) -> np.ndarray:
         keys = [hash_word(w) for w in total]
         yield pd.DataFrame({"h": np.array([*keys, 0], "int64"), "word": [True] * len(keys) + [False], "n": [*total.values(), n]})
 
-    counted = texts.mapInPandas(count, "h long, word boolean, n long").groupBy("word", "h").agg(F.sum("n").alias("n"))
-    held = counted.where("word OR n > 0")
-    total = held.where("NOT word").select(F.col("n").alias("total"))
-    rows = held.where("word").join(F.broadcast(total), F.col("n") > share * F.col("total")).select("h").collect()
+    counted = scratch.keep(texts.mapInPandas(count, "h long, word boolean, n long").groupBy("word", "h").agg(F.sum("n").alias("n")))
+    total = counted.where("NOT word").agg(F.sum("n")).first()[0] or 0
+    rows = counted.where(F.col("word") & (F.col("n") > share * total)).select("h").collect()
+    scratch.drop(counted)
     return np.array(sorted(r.h for r in rows), dtype="int64")
 
 

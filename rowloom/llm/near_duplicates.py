@@ -78,9 +78,9 @@ class Signer:
         return out
 
 
-def signatures(texts: DataFrame, coordinates: int, width: int, frequent: float) -> DataFrame:
+def signatures(texts: DataFrame, coordinates: int, width: int, frequent: float, scratch: Scratch) -> DataFrame:
     """(id, cid, keys, words): class, coordinate values and words; the last two once per class and task."""
-    ignored = frequent_words(texts, frequent)
+    ignored = frequent_words(texts, frequent, scratch)
 
     def run(batches):
         signer, seen = Signer(coordinates, width, ignored), set()
@@ -141,7 +141,7 @@ def near_duplicates(
     """
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
-    signed = scratch.keep(signatures(row_texts(rows), coordinates, width, frequent))
+    signed = scratch.keep(signatures(row_texts(rows), coordinates, width, frequent, scratch))
     members = signed.select("cid", "id").distinct()
     linked = scratch.keep(class_pairs(signed, match, similarity, scratch))
     return expand_pairs(linked, members, expand_limit), members.select("id", "cid"), linked
