@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import format_duplicates as fd
 from . import near_duplicates as nd
+from . import same_looking as sl
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,8 +18,30 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return nd.near_duplicates(table(spark, folder, "prepared_rows"))[0]
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sl.same_looking_pairs(table(spark, folder, "prepared_rows"))
+
+
+def p3_plain_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return sl.plain_texts(table(spark, folder, "prepared_rows"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return fd.format_duplicates(table(spark, folder, "prepared_rows"))
+
+
+def p6_collapsed(spark: SparkSession, folder: str) -> DataFrame:
+    return fd.collapsed(table(spark, folder, "prepared_rows"))
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found}
+    return {
+        "p2_found": p2_found,
+        "p3_found": p3_found,
+        "p3_plain_texts": p3_plain_texts,
+        "p6_found": p6_found,
+        "p6_collapsed": p6_collapsed,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
