@@ -22,14 +22,14 @@ def visible(col: Column) -> Column:
     return F.coalesce(col.rlike(VISIBLE), F.lit(False))
 
 
-def row_texts(rows: DataFrame) -> DataFrame:
-    """(id, text, spare): the text of a row, or where it is null or blank the JSON that replaces it, as `spare`.
+def row_texts(rows: DataFrame, *more: str) -> DataFrame:
+    """(id, text, spare, *more): the text of a row, or where it is null or blank the JSON that replaces it, as `spare`.
 
     Rows without an id are left out, as no result could name them.
     """
     has = visible(F.col("similarity_text"))
     return rows.where(F.col("id").isNotNull()).select(
-        "id", F.when(has, F.col("similarity_text")).alias("text"), F.when(~has, F.col("input_json")).alias("spare")
+        "id", F.when(has, F.col("similarity_text")).alias("text"), F.when(~has, F.col("input_json")).alias("spare"), *more
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import format_duplicates as fd
 from . import near_duplicates as nd
 from . import same_looking as sl
+from . import split_overlap as so
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +27,15 @@ def p3_plain_texts(spark: SparkSession, folder: str) -> DataFrame:
     return sl.plain_texts(table(spark, folder, "prepared_rows"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return so.split_overlaps(table(spark, folder, "prepared_rows"))
+
+
+def p5_report(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "prepared_rows")
+    return so.overlap_report(rows, so.split_overlaps(rows))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return fd.format_duplicates(table(spark, folder, "prepared_rows"))
 
@@ -39,6 +49,8 @@ def queries() -> dict:
         "p2_found": p2_found,
         "p3_found": p3_found,
         "p3_plain_texts": p3_plain_texts,
+        "p5_found": p5_found,
+        "p5_report": p5_report,
         "p6_found": p6_found,
         "p6_collapsed": p6_collapsed,
     }
