@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import format_duplicates as fd
+from . import groups as gr
 from . import near_duplicates as nd
+from . import related_splits as rs
 from . import same_looking as sl
 from . import split_overlap as so
 
@@ -27,6 +29,10 @@ def p3_plain_texts(spark: SparkSession, folder: str) -> DataFrame:
     return sl.plain_texts(table(spark, folder, "prepared_rows"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return gr.row_groups(table(spark, folder, "prepared_rows"), table(spark, folder, "match_pairs"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return so.split_overlaps(table(spark, folder, "prepared_rows"))
 
@@ -44,15 +50,27 @@ def p6_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return fd.collapsed(table(spark, folder, "prepared_rows"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "prepared_rows")
+    return rs.torn_sets(rows, rs.related_sets(rows))
+
+
+def p7_splits(spark: SparkSession, folder: str) -> DataFrame:
+    return rs.assigned_splits(table(spark, folder, "prepared_rows"), table(spark, folder, "split_plan"))
+
+
 def queries() -> dict:
     return {
         "p2_found": p2_found,
         "p3_found": p3_found,
         "p3_plain_texts": p3_plain_texts,
+        "p4_found": p4_found,
         "p5_found": p5_found,
         "p5_report": p5_report,
         "p6_found": p6_found,
         "p6_collapsed": p6_collapsed,
+        "p7_found": p7_found,
+        "p7_splits": p7_splits,
     }
 
 
