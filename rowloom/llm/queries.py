@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import catalog_mapping as cm
 from . import format_duplicates as fd
 from . import groups as gr
 from . import near_duplicates as nd
@@ -17,6 +18,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    entries = cm.catalog_entries(table(spark, folder, "catalog_skills"), table(spark, folder, "catalog_attributes"))
+    return cm.mapped_values(cm.uncoded(table(spark, folder, "annotations")), entries)
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return nd.near_duplicates(table(spark, folder, "prepared_rows"))[0]
 
@@ -61,6 +67,7 @@ def p7_splits(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "p1_found": p1_found,
         "p2_found": p2_found,
         "p3_found": p3_found,
         "p3_plain_texts": p3_plain_texts,
