@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from ..session import Scratch, ship
 from .common import class_of, frequent_words, hash_word, jaccard, row_texts, word_sets
 
-PASSES, LEAST, CUT = 8, 3, 4
+PASSES, LEAST, CUT = 5, 3, 4
 #: Records of up to so many words post chunks of any length: they have too few of `LEAST` words or more.
 SHORT = 23
-OVERLAP = 0.015
+OVERLAP = 0.02
 FREQUENT, SIMILARITY, EXPAND_LIMIT = 0.3, 0.7, 1000
 TRAIN, EVAL = "train", ("val", "test")
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
