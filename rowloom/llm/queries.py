@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from . import catalog_mapping as cm
 from . import format_duplicates as fd
 from . import groups as gr
+from . import leaks as lk
 from . import near_duplicates as nd
+from . import packing as pk
 from . import related_splits as rs
 from . import same_looking as sl
 from . import split_overlap as so
@@ -65,6 +67,24 @@ def p7_splits(spark: SparkSession, folder: str) -> DataFrame:
     return rs.assigned_splits(table(spark, folder, "prepared_rows"), table(spark, folder, "split_plan"))
 
 
+def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pk.packed(table(spark, folder, "documents"), table(spark, folder, "container_sizes"))
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = table(spark, folder, "container_sizes")
+    return pk.fill_report(pk.packed(table(spark, folder, "documents"), sizes), sizes)
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lk.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p9_report(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "eval_items")
+    return lk.leak_report(items, lk.leaked_items(table(spark, folder, "documents"), items))
+
+
 def queries() -> dict:
     return {
         "p1_found": p1_found,
@@ -78,6 +98,10 @@ def queries() -> dict:
         "p6_collapsed": p6_collapsed,
         "p7_found": p7_found,
         "p7_splits": p7_splits,
+        "p8_packing": p8_packing,
+        "p8_fill": p8_fill,
+        "p9_found": p9_found,
+        "p9_report": p9_report,
     }
 
 
