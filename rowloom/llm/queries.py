@@ -14,6 +14,7 @@ from . import packing as pk
 from . import related_splits as rs
 from . import same_looking as sl
 from . import split_overlap as so
+from . import subjects as sj
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -85,6 +86,14 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
     return lk.leak_report(items, lk.leaked_items(table(spark, folder, "documents"), items))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sj.document_subjects(*(table(spark, folder, t) for t in ("documents", "subjects", "subject_labels")))
+
+
+def p10_composition(spark: SparkSession, folder: str) -> DataFrame:
+    return sj.composition(table(spark, folder, "documents"), p10_found(spark, folder))
+
+
 def queries() -> dict:
     return {
         "p1_found": p1_found,
@@ -102,6 +111,8 @@ def queries() -> dict:
         "p8_fill": p8_fill,
         "p9_found": p9_found,
         "p9_report": p9_report,
+        "p10_found": p10_found,
+        "p10_composition": p10_composition,
     }
 
 
