@@ -35,7 +35,7 @@ from .plainform import plain
 
 RARE, COMMON, PHRASE = 0.001, 0.3, 30.0
 POWER_PASSES, CENTROID_ROUNDS, CLARITY_ROUNDS = 5, 3, 4
-SHARE, CLEAR, HINT = 0.1, 0.95, 0.4
+SHARE, CLEAR, HINT, SEED_EVIDENCE = 0.1, 0.95, 0.4, 0.6
 _SENTENCE = re.compile(r"[.!?。！？]+|\n\s*\n")
 _HAN = "㐀-䶿一-鿿"
 _TERM = re.compile(f"[{_HAN}]+|[^\\W\\d_{_HAN}]+")
@@ -230,7 +230,7 @@ class Model:
             away = _unit((c - c[known].mean(axis=0)) * known[:, None]) if known.sum() > 1 else c
             at = np.flatnonzero(self.vocabulary.script == s)
             cosine = np.clip(self.vectors[at] @ away.T, 0, 1)
-            self.gain[at] = cosine * (cosine.max(axis=1) ** 3 * self.vocabulary.idf[at])[:, None]
+            self.gain[at] = cosine * cosine.max(axis=1, keepdims=True) ** 3
 
 
 def _seeds(docs: DataFrame, labels: DataFrame, descriptions: dict[str, str], model: Model) -> None:
@@ -274,7 +274,7 @@ def _refine_centroids(docs: DataFrame, model: Model) -> None:
                 if len(sents) == 0:
                     continue
                 best, evidence, share = _best(model.gain, sents)
-                for i in np.flatnonzero((evidence > 2) & (share > 0.6)):
+                for i in np.flatnonzero((evidence > SEED_EVIDENCE) & (share > 0.6)):
                     total[s * n + best[i]] += _unit(model.weighted[np.asarray(sents[i], "int64")].sum(axis=0))
         yield pd.DataFrame(total, columns=columns).assign(at=np.arange(2 * n))[["at", *columns]]
 
@@ -344,7 +344,7 @@ def document_subjects(
         _refine_centroids(codes, model)
         model.point()
     for i in range(CLARITY_ROUNDS):
-        _measure_clarity(codes, model, 0.5 if i else 2.0)
+        _measure_clarity(codes, model, 0.5 if i else SEED_EVIDENCE)
     gain = model.gain
 
     def run(batches):
