@@ -1 +1 @@
-
+"""Column functions: text, keys and hashes, strict JSON."""

@@ -1 +1 @@
-
+"""Whole flows: the queries over the project's tables, preparation and evaluation."""
