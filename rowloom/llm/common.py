@@ -62,31 +62,74 @@ def class_of(sorted_words: list[str]) -> int:
     return hash_word("\x00".join(sorted_words))
 
 
-def frequent_words(texts: DataFrame, share: float, scratch: Scratch) -> np.ndarray:
-    """Hashes of the words that more than `share` of the texts hold, counted over all of them.
+def word_table(texts: DataFrame, scratch: Scratch, *more: str) -> DataFrame:
+    """(id, *more, cid, words, h, n), from one pass over `row_texts`.
 
-    A text with w words can make at most w / share words frequent on average, so the result stays at the mean
-    number of words over `share`, whatever the number of texts.
+    Rows of texts have id, further text columns, class and, for the first row of its class and further columns in a
+    task, the words parted by blanks; texts without a word have no row. Rows of counts have a word's hash and its number
+    of texts in some task, or no hash and the number of texts; the counter of a task is written out as it grows.
     """
 
-    def count(batches):
+    def run(batches):
         from collections import Counter
 
-        total, n = Counter(), 0
+        def table(rows: list[tuple]) -> pd.DataFrame:
+            made = pd.DataFrame(rows, columns=columns, dtype="object")
+            return made.astype({"cid": "Int64", "h": "Int64", "n": "Int64"})
+
+        def counts() -> pd.DataFrame:
+            none = (None,) * (len(columns) - 2)
+            return table([(*none, hash_word(w), n) for w, n in total.items()] + [(*none, None, texts_read)])
+
+        columns, seen, total, texts_read = ["id", *more, "cid", "words", "h", "n"], set(), Counter(), 0
         for b in batches:
-            for ws in word_sets(b):
-                total.update(ws)
-                n += 1
-        keys = [hash_word(w) for w in total]
-        yield pd.DataFrame({"h": np.array([*keys, 0], "int64"), "word": [True] * len(keys) + [False], "n": [*total.values(), n]})
-
-    counted = scratch.keep(texts.mapInPandas(count, "h long, word boolean, n long").groupBy("word", "h").agg(F.sum("n").alias("n")))
-    total = counted.where("NOT word").agg(F.sum("n")).first()[0] or 0
-    rows = counted.where(F.col("word") & (F.col("n") > share * total)).select("h").collect()
-    scratch.drop(counted)
+            sets = word_sets(b)
+            texts_read += len(sets)
+            out = []
+            for ws, i, *side in zip(sets, b["id"], *(b[m] for m in more)):
+                if ws:
+                    total.update(ws)
+                    c = class_of(ws)
+                    fresh = (c, *side) not in seen
+                    seen.add((c, *side))
+                    out.append((i, *side, c, " ".join(ws) if fresh else None, None, None))
+            yield table(out)
+            if len(total) > 300_000:
+                yield counts()
+                total.clear()
+                texts_read = 0
+        yield counts()
+
+    extra = "".join(f"{m} string, " for m in more)
+    return scratch.keep(texts.mapInPandas(run, f"id string, {extra}cid long, words string, h long, n long"))
+
+
+def frequent_words(table: DataFrame, share: float) -> np.ndarray:
+    """Hashes of the words that more than `share` of the texts of a word table hold, counted over all of them.
+
+    A text with w words can make at most w / share words frequent on average, so the result stays at the mean
+    number of words over `share`, whatever the number of texts.
+    """
+    counts = table.where("n IS NOT NULL").select("h", "n")
+    total = counts.where("h IS NULL").agg(F.sum("n")).first()[0] or 0
+    sums = counts.where("h IS NOT NULL").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = sums.where(F.col("n") > share * total).select("h").collect()
     return np.array(sorted(r.h for r in rows), dtype="int64")
 
 
+def variants(items: list, hashes: list[int], ignored: set[int]) -> list[tuple[int, list]]:
+    """(variant, items): the items without ignored words, variant 0, where these are half of all or more; all items,
+    variant 1, where they are under three quarters.
+
+    Of two sets with a Jaccard similarity of 0.7 or more, the shares of words that are not ignored differ by less
+    than a quarter, so the two always have a variant in common, even if one text and its near copies fill a
+    third of all rows and thereby make each of its words frequent.
+    """
+    rest = [x for x, h in zip(items, hashes) if h not in ignored]
+    out = [(0, rest)] if rest and 2 * len(rest) >= len(items) else []
+    return out + ([(1, items)] if 4 * len(rest) < 3 * len(items) else [])
+
+
 def expand_pairs(pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame:
     """(id_a, id_b) of every two rows in one class or in two paired classes.
 

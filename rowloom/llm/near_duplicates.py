@@ -1,14 +1,16 @@
 """Near-duplicate records with small edits.
 
 Method: an inverted join over signature coordinates. The signature of a record has `coordinates` values; each
-is a hash of `width` minima of independent hash functions over the record's distinct words, so two records
-agree in one coordinate with probability J^width (J: their Jaccard similarity). Every record is posted under
+is a hash of `width` minima of hash functions over the record's distinct words, so two records agree in one
+coordinate with probability J^width (J: their Jaccard similarity). Each minimum takes part in two coordinates, with
+others each time: half as many are computed, and coordinates stay nearly independent. Every record is posted under
 each (coordinate, value); a self-join of the postings counts the collisions of two records, and pairs with at
 least `match` of them are held against the exact similarity.
 
 * Records with the same set of words are one class and are posted once per task.
 * Words that more than `frequent` of all records hold (counted over all of them) take no part in the signature:
-  they make unrelated records collide and hardly tell copies apart. They count in the exact check.
+  they make unrelated records collide and hardly tell copies apart. They count in the exact check. A record in
+  which they are many is (also) posted with all of its words, see `variants`.
 * Prefix and skip: among K coordinates a pair that collides `match` times must collide in the first
   K - match + 1 of them, so the values of the last ones are only looked at for records already posted with an
   equal value before; a value held by one record joins with nothing.
@@ -25,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
-from .common import class_of, expand_pairs, frequent_words, hash_word, jaccard, row_texts, word_sets
+from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, variants, word_table
 
 COORDINATES, WIDTH, MATCH = 44, 5, 2
 FREQUENT = 0.3
 SIMILARITY = 0.7
 EXPAND_LIMIT = 1000
+_MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 
 class Signer:
@@ -38,82 +41,67 @@ class Signer:
 
     def __init__(self, coordinates: int, width: int, ignored: np.ndarray, seed: int = 20):
         rng = np.random.default_rng(seed)
-        n = coordinates * width
+        n = -(-coordinates * width // 2)
         self.k, self.r, self.ignored = coordinates, width, set(ignored.tolist())
+        self.of = np.concatenate([rng.permutation(n), rng.permutation(n)])[: coordinates * width].reshape(coordinates, width)
         self.mul = rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
         self.add = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         self.mix = rng.integers(1, 1 << 63, width, dtype=np.uint64) | np.uint64(1)
         self.at = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64)
 
-    def sign(self, sets: list[list[str]]) -> list[np.ndarray | None]:
-        """None for a set without words; a set of ignored words only is signed with all of its words."""
+    def sign(self, sets: list[list[str]]) -> list[np.ndarray]:
+        """The coordinate values of each set, of which none is empty; two sets of values for a set with two variants."""
         known: dict[str, int] = {}
         hashes: list[int] = []
-        ends, flat = [], []
-        for ws in sets:
+        owners, kinds, starts, flat = [], [], [], []
+        for owner, ws in enumerate(sets):
             at = []
             for w in ws:
                 if w not in known:
                     known[w] = len(hashes)
                     hashes.append(hash_word(w))
                 at.append(known[w])
-            rest = [i for i in at if hashes[i] not in self.ignored]
-            flat += rest or at
-            ends.append(len(flat))
-        out: list[np.ndarray | None] = [None] * len(sets)
-        if not flat:
-            return out
+            for kind, some in variants(at, [hashes[i] for i in at], self.ignored):
+                owners.append(owner)
+                kinds.append(kind)
+                starts.append(len(flat))
+                flat += some
         x = np.array(hashes, "int64").view(np.uint64)
         table = ((x[:, None] * self.mul[None, :] + self.add[None, :]) >> np.uint64(32)).astype(np.uint32)
-        flat_at, starts = np.array(flat), np.array([0, *ends[:-1]])
-        full = np.flatnonzero(np.array(ends) > starts)
-        for lo in range(0, len(full), 256):
-            some = full[lo : lo + 256]
-            first, last = starts[some[0]], ends[some[-1]]
-            low = np.minimum.reduceat(table[flat_at[first:last]], starts[some] - first, axis=0)
-            low = low.reshape(len(some), self.k, self.r).astype(np.uint64)
-            keys = ((low * self.mix).sum(axis=2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.at) * np.uint64(0xD6E8FEB86659FD93)
-            for i, row in zip(some, (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)):
-                out[i] = row
-        return out
-
-
-def signatures(texts: DataFrame, coordinates: int, width: int, frequent: float, scratch: Scratch) -> DataFrame:
-    """(id, cid, keys, words): class, coordinate values and words; the last two once per class and task."""
-    ignored = frequent_words(texts, frequent, scratch)
+        flat_at, begin = np.array(flat, "int64"), np.array(starts + [len(flat)])
+        out: list[list[np.ndarray]] = [[] for _ in sets]
+        for lo in range(0, len(owners), 256):
+            hi = min(lo + 256, len(owners))
+            low = np.minimum.reduceat(table[flat_at[begin[lo] : begin[hi]]], begin[lo:hi] - begin[lo], axis=0)
+            mixed = (low[:, self.of].astype(np.uint64) * self.mix).sum(axis=2, dtype=np.uint64) * _STEP
+            salt = self.at + np.array(kinds[lo:hi], np.uint64)[:, None] * _STEP
+            keys = ((mixed + salt) * _MIX >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            for owner, row in zip(owners[lo:hi], keys):
+                out[owner].append(row)
+        return [np.concatenate(rows) if len(rows) > 1 else rows[0] for rows in out]
+
+
+def signatures(table: DataFrame, coordinates: int, width: int, frequent: float) -> DataFrame:
+    """(cid, keys): the coordinate values of each class of a word table, once per task of it."""
+    ignored = frequent_words(table, frequent)
 
     def run(batches):
-        signer, seen = Signer(coordinates, width, ignored), set()
+        signer = Signer(coordinates, width, ignored)
         for b in batches:
-            sets = word_sets(b)
-            cids = [class_of(ws) if ws else None for ws in sets]
-            fresh = []
-            for i, c in enumerate(cids):
-                if c is not None and c not in seen:
-                    seen.add(c)
-                    fresh.append(i)
-            keys: list = [None] * len(sets)
-            text: list = [None] * len(sets)
-            for i, k in zip(fresh, signer.sign([sets[i] for i in fresh])):
-                keys[i], text[i] = k, " ".join(sets[i])
-            yield pd.DataFrame({"id": b["id"], "cid": pd.array(cids, dtype="Int64"), "keys": keys, "words": text})
-
-    return texts.mapInPandas(run, "id string, cid long, keys array<int>, words string").where("cid IS NOT NULL")
-
-
-def class_pairs(
-    signed: DataFrame, match: int = MATCH, similarity: float = SIMILARITY, scratch: Scratch | None = None
-) -> DataFrame:
+            yield pd.DataFrame({"cid": b["cid"], "keys": signer.sign([ws.split(" ") for ws in b["words"]])})
+
+    return table.where("words IS NOT NULL").select("cid", "words").mapInPandas(run, "cid long, keys array<int>")
+
+
+def class_pairs(table: DataFrame, signed: DataFrame, match: int, similarity: float, scratch: Scratch) -> DataFrame:
     """(ca, cb, similarity): classes at or above the similarity, the smaller first."""
-    posted = signed.where("keys IS NOT NULL").select("cid", F.explode("keys").alias("key"))
+    posted = signed.select("cid", F.explode("keys").alias("key"))
     left = posted.select("key", F.col("cid").alias("ca")).repartition("key").dropDuplicates(["key", "ca"])
     right = left.select("key", F.col("ca").alias("cb"))
     hits = left.join(right, "key").where("ca < cb").groupBy("ca", "cb").agg(F.count("*").alias("n"))
-    pairs = hits.where(F.col("n") >= match).select("ca", "cb")
-    if scratch:
-        pairs = scratch.keep(pairs)
+    pairs = scratch.keep(hits.where(F.col("n") >= match).select("ca", "cb"))
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
-    texts = signed.where("words IS NOT NULL").select("cid", "words").join(ends, "cid", "left_semi").dropDuplicates(["cid"])
+    texts = table.where("words IS NOT NULL").select("cid", "words").join(ends, "cid", "left_semi").dropDuplicates(["cid"])
     a = texts.select(F.col("cid").alias("ca"), F.col("words").alias("wa"))
     b = texts.select(F.col("cid").alias("cb"), F.col("words").alias("wb"))
     return (
@@ -141,7 +129,8 @@ def near_duplicates(
     """
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
-    signed = scratch.keep(signatures(row_texts(rows), coordinates, width, frequent, scratch))
-    members = signed.select("cid", "id").distinct()
-    linked = scratch.keep(class_pairs(signed, match, similarity, scratch))
+    table = word_table(row_texts(rows), scratch)
+    signed = scratch.keep(signatures(table, coordinates, width, frequent))
+    members = table.where("id IS NOT NULL").select("cid", "id").distinct()
+    linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch))
     return expand_pairs(linked, members, expand_limit), members.select("id", "cid"), linked

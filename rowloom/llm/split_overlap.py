@@ -8,7 +8,8 @@ shared chunks of two records are summed into overlap fractions. Records are cut
 edit that breaks a chunk in one order leaves others whole. Pairs with enough overlap are held against the exact
 similarity of the words.
 
-Words that more than `frequent` of all records hold take no part in chunks; they count in the exact check. A chunk
+Words that more than `frequent` of all records hold take no part in chunks, unless they are many in a record (see
+`variants`); they count in the exact check. A chunk
 that is not shared meets nothing in the join; records of one split never meet.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
-from .common import class_of, frequent_words, hash_word, jaccard, row_texts, word_sets
+from .common import frequent_words, hash_word, jaccard, row_texts, variants, word_table
 
 PASSES, LEAST, CUT = 5, 3, 4
 #: Records of up to so many words post chunks of any length: they have too few of `LEAST` words or more.
@@ -42,7 +43,6 @@ class Chunker:
         self.known: dict[str, int] = {}
 
     def hashes(self, ws: list[str]) -> list[int]:
-        """Hashes of the words that count; of all of them where none does."""
         out = []
         for w in ws:
             h = self.known.get(w)
@@ -51,9 +51,16 @@ class Chunker:
                     self.known.clear()
                 h = self.known[w] = hash_word(w)
             out.append(h)
-        return [h for h in out if h not in self.ignored] or out
+        return out
 
-    def chunks(self, hashes: list[int]) -> np.ndarray:
+    def chunks(self, ws: list[str]) -> tuple[int, np.ndarray]:
+        """The number of words that count and the chunks of the record's variants."""
+        all_ = self.hashes(ws)
+        found = variants(all_, all_, self.ignored)
+        parts = [self.cut_one(some, kind) for kind, some in found]
+        return len(found[0][1]), np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    def cut_one(self, hashes: list[int], kind: int = 0) -> np.ndarray:
         """A word's hash, turned for the pass, orders it, and its upper part says whether a chunk ends behind it."""
         n = len(hashes)
         turned = np.array(hashes, "int64").view(np.uint64)[None, :] * self.turns[:, None]
@@ -66,33 +73,23 @@ class Chunker:
         rolled = np.cumsum((turned ^ (turned >> np.uint64(29))).ravel() * _STEP, dtype=np.uint64)
         sums = np.diff(rolled[at], prepend=np.uint64(0))
         length = np.diff(at, prepend=-1)
-        keys = (sums + self.salts[at // n]) * _MIX
+        keys = (sums + self.salts[at // n] + np.uint64(kind)) * _MIX
         if n > SHORT:
             keys, length = keys[length >= self.least], length[length >= self.least]
         return ((keys & ~np.uint64(15)) | np.minimum(length, 15).astype(np.uint64)).view(np.int64)
 
 
-def chunked(texts: DataFrame, passes: int, least: int, cut: int, frequent: float, scratch: Scratch) -> DataFrame:
-    """(id, side, cid, n, chunks, words) of `row_texts` with a side; the last three once per class, side and task."""
-    ignored = frequent_words(texts, frequent, scratch)
+def chunked(table: DataFrame, passes: int, least: int, cut: int, frequent: float) -> DataFrame:
+    """(side, cid, n, chunks): the chunks of each class of a word table with sides, once per task of it."""
+    ignored = frequent_words(table, frequent)
 
     def run(batches):
-        chunker, seen = Chunker(passes, least, cut, ignored), set()
+        chunker = Chunker(passes, least, cut, ignored)
         for b in batches:
-            cids, ns, found, text = [], [], [], []
-            for ws, side in zip(word_sets(b), b["side"]):
-                cid = class_of(ws) if ws else None
-                fresh = cid is not None and (cid, side) not in seen
-                hashes = chunker.hashes(ws) if fresh else []
-                seen.add((cid, side))
-                cids.append(cid)
-                ns.append(len(hashes))
-                found.append(chunker.chunks(hashes) if fresh else None)
-                text.append(" ".join(ws) if fresh else None)
-            yield pd.DataFrame({"id": b["id"], "side": b["side"], "cid": pd.array(cids, dtype="Int64"), "n": ns, "chunks": found, "words": text})
-
-    made = texts.mapInPandas(run, "id string, side string, cid long, n int, chunks array<long>, words string")
-    return made.where("cid IS NOT NULL")
+            made = [chunker.chunks(ws.split(" ")) for ws in b["words"]]
+            yield pd.DataFrame({"side": b["side"], "cid": b["cid"], "n": [n for n, _ in made], "chunks": [c for _, c in made]})
+
+    return table.where("words IS NOT NULL").select("side", "cid", "words").mapInPandas(run, "side string, cid long, n int, chunks array<long>")
 
 
 def _of_pairs(pairs: DataFrame, train: DataFrame, held: DataFrame, limit: int) -> DataFrame:
@@ -130,19 +127,19 @@ def split_overlaps(
     scratch = Scratch(spark)
     side = F.when(F.col("split") == TRAIN, "t").when(F.col("split").isin(*EVAL), "h")
     sided = rows.select("id", "similarity_text", "input_json", side.alias("side")).where("side IS NOT NULL")
-    texts = row_texts(sided, "side")
-    made = scratch.keep(chunked(texts, passes, least, cut, frequent, scratch))
-    posted = made.where("chunks IS NOT NULL").select("side", "cid", "n", F.explode("chunks").alias("key"))
+    table = word_table(row_texts(sided, "side"), scratch, "side")
+    made = scratch.keep(chunked(table, passes, least, cut, frequent))
+    posted = made.select("side", "cid", "n", F.explode("chunks").alias("key"))
     a = posted.where("side = 't'").select("key", F.col("cid").alias("ca"), F.col("n").alias("na")).repartition("key").dropDuplicates(["key", "ca"])
     b = posted.where("side = 'h'").select("key", F.col("cid").alias("cb"), F.col("n").alias("nb")).repartition("key").dropDuplicates(["key", "cb"])
     shared = a.join(b, "key").where("ca <> cb").groupBy("ca", "cb").agg(F.sum(F.col("key").bitwiseAND(15)).alias("words"), F.min("na").alias("na"), F.min("nb").alias("nb"))
     pairs = scratch.keep(shared.where(F.col("words") >= overlap * passes * F.least("na", "nb")).select("ca", "cb"))
-    word_rows = made.where("words IS NOT NULL").select("cid", "words")
+    word_rows = table.where("words IS NOT NULL").select("cid", "words")
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
     known = word_rows.join(ends, "cid", "left_semi").dropDuplicates(["cid"])
     wa, wb = known.select(F.col("cid").alias("ca"), F.col("words").alias("wa")), known.select(F.col("cid").alias("cb"), F.col("words").alias("wb"))
     alike = pairs.join(wa, "ca").join(wb, "cb").where(jaccard(F.col("wa"), F.col("wb")) >= similarity).select("ca", "cb")
-    train, held = made.where("side = 't'").select("cid", "id").distinct(), made.where("side = 'h'").select("cid", "id").distinct()
+    train, held = table.where("side = 't'").select("cid", "id").distinct(), table.where("side = 'h'").select("cid", "id").distinct()
     equal = train.select("cid").distinct().join(held.select("cid").distinct(), "cid").select(F.col("cid").alias("ca"), F.col("cid").alias("cb"))
     found = _of_pairs(scratch.keep(alike.unionByName(equal)), train, held, expand_limit).where("x <> y")
     return found.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()

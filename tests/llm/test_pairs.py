@@ -68,6 +68,19 @@ def test_large_classes_are_stars(rows):
     assert members.count() == 7 and linked.count() == 1
 
 
+def test_near_copies_of_one_text_that_fill_the_table(rows):
+    base = text(1)
+    texts = {f"h{k:02}": edited(base, k % 6, k) for k in range(40)} | {f"o{k:02}": text(100 + k) for k in range(60)}
+    given = [{"id": i, "similarity_text": t, "split": "train" if int(i[1:]) % 2 else "val"} for i, t in texts.items()]
+    want = brute(texts)
+    assert len(want) > 500
+    found = pairs(nd.near_duplicates(rows(*given))[0], "id_a", "id_b")
+    assert found <= want and len(found) >= 0.99 * len(want)
+    across = {(a, b) for a, b in want if (int(a[1:]) + int(b[1:])) % 2}
+    found = pairs(so.split_overlaps(rows(*given)), "id_a", "id_b")
+    assert found <= across and len(found) >= 0.98 * len(across)
+
+
 def test_empty(rows):
     assert nd.near_duplicates(rows())[0].count() == 0
     assert so.split_overlaps(rows()).count() == 0
@@ -110,7 +123,7 @@ def test_same_looking(rows):
     ]
     found = pairs(sl.same_looking_pairs(rows(*given, given[0])), "field", "id_a", "id_b")
     assert found == {("similarity_text", "a", "b"), ("similarity_text", "b", "c"), ("input", "a", "b")}
-    assert {(r.id, r.plain_text, r.changed) for r in sl.plain_texts(rows(*given)).collect() if r.id in "abf"} >= {("a", "Cold stone", True), ("f", "", False)}
+    assert {(r.id, r.plain_text, r.changed) for r in sl.plain_texts(rows(*given)).collect() if r.id in ("a", "b", "f")} >= {("a", "Cold stone", True), ("f", "", False)}
 
 
 def test_format_duplicates(rows):
