@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from ..session import Scratch, ship
 from .common import frequent_words, hash_word, jaccard, row_texts, variants, word_table
 
-PASSES, LEAST, CUT = 5, 3, 4
+PASSES, LEAST, CUT = 12, 4, 3
 #: Records of up to so many words post chunks of any length: they have too few of `LEAST` words or more.
 SHORT = 23
-OVERLAP = 0.02
+OVERLAP = 0.0072
 FREQUENT, SIMILARITY, EXPAND_LIMIT = 0.3, 0.7, 1000
 TRAIN, EVAL = "train", ("val", "test")
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
@@ -53,12 +53,11 @@ class Chunker:
             out.append(h)
         return out
 
-    def chunks(self, ws: list[str]) -> tuple[int, np.ndarray]:
-        """The number of words that count and the chunks of the record's variants."""
-        all_ = self.hashes(ws)
-        found = variants(all_, all_, self.ignored)
-        parts = [self.cut_one(some, kind) for kind, some in found]
-        return len(found[0][1]), np.concatenate(parts) if len(parts) > 1 else parts[0]
+    def chunks(self, ws: list[str]) -> np.ndarray:
+        """The chunks of the record's variants."""
+        hashes = self.hashes(ws)
+        parts = [self.cut_one(some, kind) for kind, some in variants(hashes, hashes, self.ignored)]
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
     def cut_one(self, hashes: list[int], kind: int = 0) -> np.ndarray:
         """A word's hash, turned for the pass, orders it, and its upper part says whether a chunk ends behind it."""
@@ -79,17 +78,18 @@ class Chunker:
         return ((keys & ~np.uint64(15)) | np.minimum(length, 15).astype(np.uint64)).view(np.int64)
 
 
-def chunked(table: DataFrame, passes: int, least: int, cut: int, frequent: float) -> DataFrame:
-    """(side, cid, n, chunks): the chunks of each class of a word table with sides, once per task of it."""
-    ignored = frequent_words(table, frequent)
+def chunked(table: DataFrame, side: str, passes: int, least: int, cut: int, ignored: np.ndarray) -> DataFrame:
+    """(cid, n, key): the chunks and the number of words of each class on one side of a word table, each chunk once."""
 
     def run(batches):
         chunker = Chunker(passes, least, cut, ignored)
         for b in batches:
-            made = [chunker.chunks(ws.split(" ")) for ws in b["words"]]
-            yield pd.DataFrame({"side": b["side"], "cid": b["cid"], "n": [n for n, _ in made], "chunks": [c for _, c in made]})
+            sets = [ws.split(" ") for ws in b["words"]]
+            yield pd.DataFrame({"cid": b["cid"], "n": [len(ws) for ws in sets], "chunks": [chunker.chunks(ws) for ws in sets]})
 
-    return table.where("words IS NOT NULL").select("side", "cid", "words").mapInPandas(run, "side string, cid long, n int, chunks array<long>")
+    texts = table.where((F.col("side") == side) & F.col("words").isNotNull()).select("cid", "words")
+    posted = texts.mapInPandas(run, "cid long, n int, chunks array<long>").select("cid", "n", F.explode("chunks").alias("key"))
+    return posted.repartition("key").dropDuplicates(["key", "cid"])
 
 
 def _of_pairs(pairs: DataFrame, train: DataFrame, held: DataFrame, limit: int) -> DataFrame:
@@ -128,12 +128,13 @@ def split_overlaps(
     side = F.when(F.col("split") == TRAIN, "t").when(F.col("split").isin(*EVAL), "h")
     sided = rows.select("id", "similarity_text", "input_json", side.alias("side")).where("side IS NOT NULL")
     table = word_table(row_texts(sided, "side"), scratch, "side")
-    made = scratch.keep(chunked(table, passes, least, cut, frequent))
-    posted = made.select("side", "cid", "n", F.explode("chunks").alias("key"))
-    a = posted.where("side = 't'").select("key", F.col("cid").alias("ca"), F.col("n").alias("na")).repartition("key").dropDuplicates(["key", "ca"])
-    b = posted.where("side = 'h'").select("key", F.col("cid").alias("cb"), F.col("n").alias("nb")).repartition("key").dropDuplicates(["key", "cb"])
+    ignored = frequent_words(table, frequent)
+    a = chunked(table, "t", passes, least, cut, ignored).select("key", F.col("cid").alias("ca"), F.col("n").alias("na"))
+    b = chunked(table, "h", passes, least, cut, ignored).select("key", F.col("cid").alias("cb"), F.col("n").alias("nb"))
     shared = a.join(b, "key").where("ca <> cb").groupBy("ca", "cb").agg(F.sum(F.col("key").bitwiseAND(15)).alias("words"), F.min("na").alias("na"), F.min("nb").alias("nb"))
-    pairs = scratch.keep(shared.where(F.col("words") >= overlap * passes * F.least("na", "nb")).select("ca", "cb"))
+    # Sets whose sizes differ by more than the similarity allows cannot reach it.
+    less, more = F.least("na", "nb"), F.greatest("na", "nb")
+    pairs = scratch.keep(shared.where((F.col("words") >= overlap * passes * less) & (less >= similarity * more)).select("ca", "cb"))
     word_rows = table.where("words IS NOT NULL").select("cid", "words")
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
     known = word_rows.join(ends, "cid", "left_semi").dropDuplicates(["cid"])
