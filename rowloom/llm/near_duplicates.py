@@ -15,8 +15,9 @@ least `match` of them are held against the exact similarity.
   K - match + 1 of them, so the values of the last ones are only looked at for records already posted with an
   equal value before; a value held by one record joins with nothing.
 
-Expected recall is 1 - P(Binomial(K, J'^width) < match), J' being the similarity of the words that count. With
-the defaults it is 0.997 or more for J' = 0.7 and above 0.9999 for J' = 0.8; the README has measured figures.
+Expected recall is 1 - P(Binomial(K, J'^width) < match), J' being the similarity of the words that count: above
+0.99 for J' = 0.66 (to which ignored words can lower a J of 0.7) and above 0.9999 for J' = 0.8. The README has
+measured figures.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from ..session import Scratch, ship
 from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, variants, word_table
 
-COORDINATES, WIDTH, MATCH = 44, 5, 2
+COORDINATES, WIDTH, MATCH = 50, 5, 2
 FREQUENT = 0.3
 SIMILARITY = 0.7
 EXPAND_LIMIT = 1000
