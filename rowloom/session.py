@@ -30,9 +30,9 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Make the package importable on executors of a cluster; once per application, nothing in local mode."""
+    """Make the package importable in Python workers, wherever they start; once per application."""
     context = spark.sparkContext
-    if context.applicationId not in _shipped and not context.master.startswith("local["):
+    if context.applicationId not in _shipped:
         root = Path(__file__).parent
         path = os.path.join(tempfile.mkdtemp(), "rowloom_package.zip")
         with zipfile.ZipFile(path, "w") as z:
