@@ -552,7 +552,7 @@ def row_problems(spark, folder):
     return rows.select("id", row_rules().outcome("ok")["reason"].alias("reason"))
 
 
-_CUT = "2025-03-01"
+_CUT = "2025-03-01 00:00:00+00:00"
 
 
 def _revisions(spark, folder) -> tuple[DataFrame, DataFrame]:
@@ -562,7 +562,7 @@ def _revisions(spark, folder) -> tuple[DataFrame, DataFrame]:
 
 
 _REVISIONS = f"""o AS (SELECT source, sum(('0x' || substr(sha256(coalesce(id, '')), 1, 12))::BIGINT)::VARCHAR AS d FROM annotations
-  WHERE source IS NOT NULL AND loaded_at < TIMESTAMPTZ '{_CUT} 00:00:00+00' GROUP BY ALL),
+  WHERE source IS NOT NULL AND loaded_at < TIMESTAMPTZ '{_CUT}' GROUP BY ALL),
   n AS (SELECT source, sum(('0x' || substr(sha256(coalesce(id, '')), 1, 12))::BIGINT)::VARCHAR AS d FROM annotations WHERE source IS NOT NULL GROUP BY ALL)"""
 
 
