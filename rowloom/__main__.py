@@ -1,4 +1,5 @@
-"""Commands: `prepare` splits annotation files, `predict` answers queries, `evaluate` scores a prepared split, `catalog` builds the catalogue."""
+"""Commands: `prepare` splits annotation files, `predict` answers queries, `evaluate` scores a prepared split, `smoke` runs all
+stages over a few training rows, `catalog` builds the catalogue."""
 
 from __future__ import annotations
 
@@ -44,6 +45,19 @@ def _prepared_rows(spark, folder: str, catalog):
     return parsed.select("id", "split", "group_key", "input_json", "r.links", "r.group_members", F.col("r.similarity_text").alias("text"), "r.reference")
 
 
+def _smoke(spark, rows, settings: dict, predictor, catalog, size: int) -> dict:
+    """Metrics over the named training rows, or the first ones by id; an id that is no training row is refused."""
+    train = rows.where("split = 'train'")
+    if wanted := settings["example_ids"]:
+        named = spark.createDataFrame([(i,) for i in wanted], "id string")
+        if missing := [r.id for r in named.join(train, "id", "left_anti").collect()]:
+            sys.exit(f"no training rows: {missing}")
+    else:
+        named = train.select("id").orderBy("id").limit(settings["num_examples"])
+    chosen = train.join(named, "id", "left_semi")
+    return ev.evaluate(chosen, "train", predictor, catalog, chosen.select("id"), include_trained=True, batch_size=size)[1]
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="rowloom", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -57,6 +71,9 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--split", choices=prepared.SPLITS, default="val")
     e.add_argument("--out", required=True)
     e.add_argument("--predictor")
+    k = commands.add_parser("smoke")
+    k.add_argument("--config", required=True)
+    k.add_argument("--predictor")
     c = commands.add_parser("catalog")
     for name in ("--checkout", "--skills", "--checks", "--repository", "--out"):
         c.add_argument(name, required=True)
@@ -69,10 +86,11 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     config = load_config(args.config)
     spark = local_session()
-    if args.command == "prepare":
+    if args.command in ("prepare", "smoke"):
         document = pr.prepare(spark, config)
         print(pr.summary(document))
-        return int(bool(document["errors"]))
+        if document["errors"] or args.command == "prepare":
+            return int(bool(document["errors"]))
     catalog = catalogs.labels_of(catalogs.parse_catalog(Path(config["data"]["catalog"]).read_bytes()))
     size = config["inference"]["batch_size"]
     if args.command == "predict":
@@ -82,6 +100,9 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(said if listed else said[0], ensure_ascii=False, indent=2))
         return 0
     rows = _prepared_rows(spark, config["data"]["prepared_dir"], catalog)
+    if args.command == "smoke":
+        print(json.dumps(_smoke(spark, rows, config["smoke"], _predictor(args.predictor), catalog, size), indent=2))
+        return 0
     train = rows.where("split = 'train'").select("id")
     records, metrics = ev.evaluate(rows, args.split, _predictor(args.predictor), catalog, train, batch_size=size)
     Path(args.out).mkdir(parents=True, exist_ok=True)

@@ -238,6 +238,30 @@ def test_documents(tmp_path):
     assert set(files) == {"m.json", "q.json"} and len(one) == 64
 
 
+def test_commands(spark, config, tmp_path, capsys):
+    from rowloom.__main__ import main
+
+    config["data"]["val_fraction"] = 0.0
+    at = str(tmp_path / "config.json")
+    runs.write_document(at, config)
+    assert main(["prepare", "--config", at]) == 0
+    (tmp_path / "q.json").write_text('[{"scene": "s", "player_action": "a"}, {"scene": "s"}]')
+    capsys.readouterr()
+    assert main(["predict", "--config", at, "--input", str(tmp_path / "q.json")]) == 0
+    assert [p["valid"] for p in json.loads(capsys.readouterr().out)] == [True, False]
+    assert main(["evaluate", "--config", at, "--split", "val", "--out", str(tmp_path / "scored")]) == 0
+    metrics = json.loads(capsys.readouterr().out)
+    assert metrics == json.loads((tmp_path / "scored" / "metrics.json").read_text()) and metrics["scored"] == 1 and metrics["held_out"]
+    assert main(["smoke", "--config", at]) == 0
+    assert '"scored": 3' in capsys.readouterr().out
+    config["smoke"]["example_ids"] = ["e1", "nobody"]
+    runs.write_document(at, config)
+    with pytest.raises(SystemExit, match="nobody"):
+        main(["smoke", "--config", at])
+    with pytest.raises(SystemExit):
+        main(["unheard of"])
+
+
 def test_damaged_split_files(spark, config):
     pr.prepare(spark, config)
     out = config["data"]["prepared_dir"]
