@@ -4,9 +4,9 @@ Method: distributed union-find with local forests merged hierarchically, then gr
 
 1. Each task runs union-find over the edges it reads and keeps one edge from each vertex to its tree's root.
 2. The forests are merged level by level: a level deals the edges by the hash of their vertices to a `fan_in`-th as
-   many tasks, each of which runs union-find again. Levels end when a task would hold more than `task_edges` edges;
-   what is then still not joined is finished by `groups.connected_sets` over the forests, so no task and no driver ever
-   holds all of an unbounded graph.
+   many tasks, each of which runs union-find again. Levels end when a task would hold more than `task_edges` edges.
+   Unless one task then holds everything in one forest, what is still not joined is finished by
+   `groups.connected_sets` over the forests, so no task and no driver ever holds all of an unbounded graph.
 3. Sets are dealt to splits largest first, each to the split furthest below its target. Sets of the same size and
    scope are interchangeable, so the driver deals counts per size (at most sqrt(2 rows) sizes exist), and
    each set gets its split from its rank among the sets of its size.
@@ -54,24 +54,29 @@ class Forest:
 
 
 def local_forests(edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
-    """(a, b): in place of each task's edges, an edge from every vertex to the root of its tree there."""
+    """(a, b, part): in place of each task's edges, an edge from every vertex to the root of its tree there. A task
+    that comes to hold more than `task_edges` vertices writes its forest out and begins another, the next part."""
+
+    def table(forest: Forest, part: int) -> pd.DataFrame:
+        a, b = forest.edges()
+        return pd.DataFrame({"a": a, "b": b}, dtype="object").assign(part=part)
 
     def run(batches):
-        forest = Forest()
+        forest, part = Forest(), 0
         for batch in batches:
             for a, b in zip(batch["a"], batch["b"]):
                 forest.union(a, b)
             if len(forest.up) > task_edges:
-                yield pd.DataFrame(dict(zip("ab", forest.edges())), dtype="object")
-                forest = Forest()
-        yield pd.DataFrame(dict(zip("ab", forest.edges())), dtype="object")
+                yield table(forest, part)
+                forest, part = Forest(), part + 1
+        yield table(forest, part)
 
-    return edges.select("a", "b").mapInPandas(run, "a string, b string")
+    return edges.select("a", "b").mapInPandas(run, "a string, b string, part int")
 
 
 def merged_forests(edges: DataFrame, scratch: Scratch, fan_in: int = FAN_IN, task_edges: int = TASK_EDGES) -> tuple[DataFrame, bool]:
     """Forest edges (a, b) after local forests and their hierarchical merges, which have the edges' components; and
-    whether the last level was one task, so that each b is the smallest vertex of its component."""
+    whether the last level was one forest, so that each b is the smallest vertex of its component."""
     now = scratch.keep(local_forests(edges, task_edges))
     tasks = now.rdd.getNumPartitions()
     n = now.count()
@@ -79,9 +84,10 @@ def merged_forests(edges: DataFrame, scratch: Scratch, fan_in: int = FAN_IN, tas
     while n:
         then = scratch.keep(local_forests(now.repartition(tasks, "b"), task_edges))
         scratch.drop(now)
-        now, n = then, then.count()
+        now = then
+        n, parts = now.agg(F.count("*"), F.max("part")).first()
         if tasks == 1 or n * fan_in > task_edges * tasks:
-            return now, tasks == 1 and n < task_edges
+            return now, tasks == 1 and not parts
         tasks = math.ceil(tasks / fan_in)
     return now, True
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 from rowloom.llm import groups as gr
 from rowloom.llm import related_splits as rs
+from rowloom.session import Scratch
 
 from .conftest import pairs
 
@@ -83,6 +84,24 @@ def test_related_sets_against_union_find(rows):
         assert pairs(rs.related_sets(rows(*given).repartition(5), task_edges=limit), "id", "set_id") == want
 
 
+def test_a_last_task_that_writes_out_its_forest_is_not_whole(spark):
+    """Chains of 90 edges over 120 vertices: a limit of 100 is met by the vertices and not by the edges."""
+    edges = [(f"{k:02}{i + 1}", f"{k:02}{i}") for k in range(30) for i in range(3)]
+    random.Random(0).shuffle(edges)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(batch)
+    spark.conf.set(batch, "10")
+    try:
+        for limit, one in ((100, False), (120, True)):
+            df = spark.createDataFrame(edges, "a string, b string").coalesce(1)
+            forest, whole = rs.merged_forests(df, Scratch(spark), task_edges=limit)
+            found = {(r.a, r.b) for r in forest.collect()}
+            assert whole == one and sorted(map(sorted, components(found))) == [[f"{k:02}{i}" for i in range(4)] for k in range(30)]
+            assert not whole or found == {(a, a[:2] + "0") for a, _ in edges}
+    finally:
+        spark.conf.set(batch, kept)
+
+
 def test_torn_sets(rows):
     given = related_rows(3)
     split = {r["id"]: r["split"] for r in given}
