@@ -15,6 +15,7 @@ from .plainform import words
 
 #: A visible character: neither white space nor invisible.
 VISIBLE = r"[^\s\p{Z}\p{C}]"
+TRAIN, EVAL = "train", ("val", "test")
 
 
 def visible(col: Column) -> Column:
@@ -62,11 +63,16 @@ def class_of(sorted_words: list[str]) -> int:
     return hash_word("\x00".join(sorted_words))
 
 
-def word_table(texts: DataFrame, scratch: Scratch, *more: str) -> DataFrame:
-    """(id, *more, cid, words, h, n), from one pass over `row_texts`.
+def side_of(split: Column) -> Column:
+    """`t` for train, `h` for val and test, an empty string for others."""
+    return F.when(split == TRAIN, "t").when(split.isin(*EVAL), "h").otherwise("")
 
-    Rows of texts have id, further text columns, class and, for the first row of its class and further columns in a
-    task, the words parted by blanks; texts without a word have no row. Rows of counts have a word's hash and its number
+
+def word_table(texts: DataFrame, scratch: Scratch, apart: bool = False) -> DataFrame:
+    """(id, side, cid, tid, words, h, n), from one pass over `row_texts` with side.
+
+    Rows of texts have id, side, class, a hash of the text as it is and, for the first row of its class (`apart`: and
+    side) in a task, the words parted by blanks; texts without a word have no row. Rows of counts have a word's hash and its number
     of texts in some task, or no hash and the number of texts; the counter of a task is written out as it grows.
     """
 
@@ -75,24 +81,25 @@ def word_table(texts: DataFrame, scratch: Scratch, *more: str) -> DataFrame:
 
         def table(rows: list[tuple]) -> pd.DataFrame:
             made = pd.DataFrame(rows, columns=columns, dtype="object")
-            return made.astype({"cid": "Int64", "h": "Int64", "n": "Int64"})
+            return made.astype({"cid": "Int64", "tid": "Int64", "h": "Int64", "n": "Int64"})
 
         def counts() -> pd.DataFrame:
             none = (None,) * (len(columns) - 2)
             return table([(*none, hash_word(w), n) for w, n in total.items()] + [(*none, None, texts_read)])
 
-        columns, seen, total, texts_read = ["id", *more, "cid", "words", "h", "n"], set(), Counter(), 0
+        columns, seen, total, texts_read = ["id", "side", "cid", "tid", "words", "h", "n"], set(), Counter(), 0
         for b in batches:
             sets = word_sets(b)
             texts_read += len(sets)
             out = []
-            for ws, i, *side in zip(sets, b["id"], *(b[m] for m in more)):
+            for ws, i, side, t, s in zip(sets, b["id"], b["side"], b["text"], b["spare"]):
                 if ws:
                     total.update(ws)
                     c = class_of(ws)
-                    fresh = (c, *side) not in seen
-                    seen.add((c, *side))
-                    out.append((i, *side, c, " ".join(ws) if fresh else None, None, None))
+                    key = (c, side) if apart else c
+                    fresh = key not in seen
+                    seen.add(key)
+                    out.append((i, side, c, hash_word(t if t is not None else spare_text(s)), " ".join(ws) if fresh else None, None, None))
             yield table(out)
             if len(total) > 300_000:
                 yield counts()
@@ -100,8 +107,7 @@ def word_table(texts: DataFrame, scratch: Scratch, *more: str) -> DataFrame:
                 texts_read = 0
         yield counts()
 
-    extra = "".join(f"{m} string, " for m in more)
-    return scratch.keep(texts.mapInPandas(run, f"id string, {extra}cid long, words string, h long, n long"))
+    return scratch.keep(texts.mapInPandas(run, "id string, side string, cid long, tid long, words string, h long, n long"))
 
 
 def frequent_words(table: DataFrame, share: float) -> np.ndarray:
@@ -130,30 +136,39 @@ def variants(items: list, hashes: list[int], ignored: set[int]) -> list[tuple[in
     return out + ([(1, items)] if 4 * len(rest) < 3 * len(items) else [])
 
 
-def expand_pairs(pairs: DataFrame, members: DataFrame, limit: int) -> DataFrame:
-    """(id_a, id_b) of every two rows in one class or in two paired classes.
+def _met(pairs: DataFrame, xs: DataFrame, ys: DataFrame, within: str) -> DataFrame:
+    """(x, y): a row of xs and one of ys, in one class and meeting `within`, or in ca and cb of paired classes."""
+    a, b = xs.select(F.col("cid").alias("ca"), F.col("id").alias("x")), ys.select(F.col("cid").alias("cb"), F.col("id").alias("y"))
+    same = a.join(b.withColumnRenamed("cb", "ca"), "ca").where(within).select("x", "y")
+    return same.unionByName(pairs.select("ca", "cb").join(a, "ca").join(b, "cb").select("x", "y"))
+
 
-    pairs(ca, cb): paired classes; members(cid, id): distinct. A class of more than `limit` copies is not
-    expanded into all its pairs: each of its rows is paired with the class's smallest id, and that id stands for
-    the class in its pairs with other classes, which keeps every link.
+def expand_pairs(pairs: DataFrame, members: DataFrame, limit: int, scratch: Scratch, across: bool = False) -> DataFrame:
+    """(id_a, id_b) of every two rows in one class or in two paired classes; `across`: of a train and a held-out row.
+
+    pairs(ca, cb): paired classes, each once, or `across` the class of the train row first; members(cid, tid, side, id):
+    distinct, `tid` the row's text, side `t` for train, `h` for held out or another. Only identical texts are not
+    expanded into all their pairs: where more than `limit` rows of one side have the same text, each is paired with
+    their smallest id, which stands for them in pairs with other rows. Towards the other of train and held out each of
+    them is also paired with the smallest id of every text that meets theirs, so the pairs across the two name every row
+    and are the same whether `across` or taken from all pairs.
     """
-    sizes = members.groupBy("cid").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
-    several = sizes.where("n > 1")
-    inside = members.join(several.where(F.col("n") <= limit).select("cid"), "cid")
-    a, b = inside.select("cid", F.col("id").alias("x")), inside.select("cid", F.col("id").alias("y"))
-    same = a.join(b, "cid").where("x < y").select("x", "y")
-    star = members.join(several.where(F.col("n") > limit).select("cid", "rep"), "cid").where("id <> rep").select(F.col("rep").alias("x"), F.col("id").alias("y"))
-    large = sizes.where(F.col("n") > limit).select("cid", "rep")
-    standing = members.join(large, "cid", "left").where("rep IS NULL OR rep = id").select("cid", "id")
-    left = standing.select(F.col("cid").alias("ca"), F.col("id").alias("x"))
-    right = standing.select(F.col("cid").alias("cb"), F.col("id").alias("y"))
-    cross = pairs.select("ca", "cb").join(left, "ca").join(right, "cb").where("x <> y").select("x", "y")
-    return (
-        same.unionByName(star)
-        .unionByName(cross)
-        .select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-        .distinct()
-    )
+    key = ["cid", "tid", "side"]
+    groups = members.groupBy(*key).agg(F.count("*").alias("n"), F.min("id").alias("rep"))
+    large = scratch.keep(groups.where(F.col("n") > limit).select(*key, "rep"))
+    some = not large.isEmpty()
+    standing = members.join(large, key, "left").where("rep IS NULL OR rep = id").drop("rep") if some else members
+    train, held = F.col("side") == "t", F.col("side") == "h"
+    found = _met(pairs, standing.where(train), standing.where(held), "true") if across else _met(pairs, standing, standing, "x < y")
+    if some:
+        rest = members.join(large, key).where("id <> rep")
+        first = groups.select("cid", "side", F.col("rep").alias("id"))
+        both = pairs if across else pairs.select("ca", "cb").union(pairs.select("cb", "ca"))
+        found = found.unionByName(_met(both, rest.where(train), first.where(held), "true")).unionByName(_met(both, first.where(train), rest.where(held), "true"))
+        if not across:
+            found = found.unionByName(rest.select(F.col("rep").alias("x"), F.col("id").alias("y")))
+    ends = found.where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    return ends.distinct()
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
-from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, variants, word_table
+from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
 
 COORDINATES, WIDTH, MATCH = 50, 5, 2
 FREQUENT = 0.3
@@ -124,14 +124,16 @@ def near_duplicates(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs (id_a, id_b), members (id, cid) and class pairs (ca, cb, similarity) of similar rows.
 
-    rows: id, similarity_text, input_json; other columns are ignored. The text of a row is similarity_text, or
-    where that is null or blank the strings of input_json. Rows without an id or without any word are in no
-    pair. A repeated row counts once. Classes of more than `expand_limit` equal rows are paired as a star.
+    rows: id, similarity_text, input_json and, if there, split; other columns are ignored. The text of a row is
+    similarity_text, or where that is null or blank the strings of input_json. Rows without an id or without any word
+    are in no pair. A repeated row counts once. More than `expand_limit` rows with one and the same text are paired as
+    a star, see `expand_pairs`; rows with equal words in different texts are all paired.
     """
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
-    table = word_table(row_texts(rows), scratch)
+    side = side_of(F.col("split")) if "split" in rows.columns else F.lit("")
+    table = word_table(row_texts(rows.withColumn("side", side), "side"), scratch)
     signed = scratch.keep(signatures(table, coordinates, width, frequent))
-    members = table.where("id IS NOT NULL").select("cid", "id").distinct()
+    members = table.where("id IS NOT NULL").select("cid", "tid", "side", "id").distinct()
     linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch))
-    return expand_pairs(linked, members, expand_limit), members.select("id", "cid"), linked
+    return expand_pairs(linked, members, expand_limit, scratch), members.select("id", "cid").distinct(), linked

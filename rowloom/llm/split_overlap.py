@@ -21,14 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
-from .common import frequent_words, hash_word, jaccard, row_texts, variants, word_table
+from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
 
 PASSES, LEAST, CUT = 12, 4, 3
 #: Records of up to so many words post chunks of any length: they have too few of `LEAST` words or more.
 SHORT = 23
 OVERLAP = 0.0072
 FREQUENT, SIMILARITY, EXPAND_LIMIT = 0.3, 0.7, 1000
-TRAIN, EVAL = "train", ("val", "test")
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,22 +91,6 @@ def chunked(table: DataFrame, side: str, passes: int, least: int, cut: int, igno
     return posted.repartition("key").dropDuplicates(["key", "cid"])
 
 
-def _of_pairs(pairs: DataFrame, train: DataFrame, held: DataFrame, limit: int) -> DataFrame:
-    """(x, y): rows of train classes with rows of held-out classes. Where one of the two has more than `limit`
-    copies, each row is paired with the other's smallest id: every row still shows up, in linear space."""
-
-    def sized(members: DataFrame, c: str, n: str, rep: str) -> DataFrame:
-        return members.groupBy(F.col("cid").alias(c)).agg(F.count("*").alias(n), F.min("id").alias(rep))
-
-    known = pairs.join(sized(train, "ca", "na", "ra"), "ca").join(sized(held, "cb", "nb", "rb"), "cb")
-    small = (F.col("na") <= limit) & (F.col("nb") <= limit)
-    xs, ys = train.select(F.col("cid").alias("ca"), F.col("id").alias("x")), held.select(F.col("cid").alias("cb"), F.col("id").alias("y"))
-    full = known.where(small).join(xs, "ca").join(ys, "cb").select("x", "y")
-    ray = known.where(~small).join(xs, "ca").select("x", F.col("rb").alias("y"))
-    yar = known.where(~small).join(ys, "cb").select(F.col("ra").alias("x"), "y")
-    return full.unionByName(ray).unionByName(yar)
-
-
 def split_overlaps(
     rows: DataFrame,
     similarity: float = SIMILARITY,
@@ -121,13 +104,13 @@ def split_overlaps(
     """(id_a, id_b): similar rows of which one is in train and the other in val or test; the smaller id first.
 
     rows: id, split, similarity_text, input_json; other columns are ignored. Rows with another or no split, without
-    an id or without any word are in no pair. A repeated row counts once; copies are one class until the end.
+    an id or without any word are in no pair. A repeated row counts once; copies are one class until the end. Beyond
+    `expand_limit` rows with one text, see `expand_pairs`.
     """
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
-    side = F.when(F.col("split") == TRAIN, "t").when(F.col("split").isin(*EVAL), "h")
-    sided = rows.select("id", "similarity_text", "input_json", side.alias("side")).where("side IS NOT NULL")
-    table = word_table(row_texts(sided, "side"), scratch, "side")
+    sided = rows.select("id", "similarity_text", "input_json", side_of(F.col("split")).alias("side")).where("side <> ''")
+    table = word_table(row_texts(sided, "side"), scratch, apart=True)
     ignored = frequent_words(table, frequent)
     a = chunked(table, "t", passes, least, cut, ignored).select("key", F.col("cid").alias("ca"), F.col("n").alias("na"))
     b = chunked(table, "h", passes, least, cut, ignored).select("key", F.col("cid").alias("cb"), F.col("n").alias("nb"))
@@ -140,10 +123,8 @@ def split_overlaps(
     known = word_rows.join(ends, "cid", "left_semi").dropDuplicates(["cid"])
     wa, wb = known.select(F.col("cid").alias("ca"), F.col("words").alias("wa")), known.select(F.col("cid").alias("cb"), F.col("words").alias("wb"))
     alike = pairs.join(wa, "ca").join(wb, "cb").where(jaccard(F.col("wa"), F.col("wb")) >= similarity).select("ca", "cb")
-    train, held = table.where("side = 't'").select("cid", "id").distinct(), table.where("side = 'h'").select("cid", "id").distinct()
-    equal = train.select("cid").distinct().join(held.select("cid").distinct(), "cid").select(F.col("cid").alias("ca"), F.col("cid").alias("cb"))
-    found = _of_pairs(scratch.keep(alike.unionByName(equal)), train, held, expand_limit).where("x <> y")
-    return found.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
+    members = table.where("id IS NOT NULL").select("cid", "tid", "side", "id").distinct()
+    return expand_pairs(scratch.keep(alike), members, expand_limit, scratch, across=True)
 
 
 def overlap_report(rows: DataFrame, found: DataFrame) -> DataFrame:

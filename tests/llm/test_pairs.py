@@ -68,6 +68,22 @@ def test_large_classes_are_stars(rows):
     assert members.count() == 7 and linked.count() == 1
 
 
+def test_large_classes_of_different_texts_are_expanded(rows):
+    ws = "one two three four five six seven eight nine ten".split()
+    texts = {f"r{k}": " ".join(ws[k:] + ws[:k]) for k in range(5)} | {f"s{k}": " ".join(ws) for k in range(4)}
+    texts |= {"x0": " ".join([*ws, "more"]), "x1": " ".join(["more", *ws])}
+    given = [{"id": i, "similarity_text": t, "split": ("train", "val", None)[k % 3]} for k, (i, t) in enumerate(texts.items())]
+    split = {r["id"]: r["split"] for r in given}
+    across = lambda found: {p for p in found if {split[i] for i in p} == {"train", "val"}}
+    want = brute(texts)
+    for limit in (4, 3, 1):
+        found = pairs(nd.near_duplicates(rows(*given), expand_limit=limit)[0], "id_a", "id_b")
+        one = {i for i in texts if texts[i] == " ".join(ws)}
+        assert found <= want and all(p in found or one & set(p) for p in want)
+        assert limit == 1 or found == want
+        assert pairs(so.split_overlaps(rows(*given), expand_limit=limit), "id_a", "id_b") == across(found)
+
+
 def test_near_copies_of_one_text_that_fill_the_table(rows):
     base = text(1)
     texts = {f"h{k:02}": edited(base, k % 6, k) for k in range(40)} | {f"o{k:02}": text(100 + k) for k in range(60)}
