@@ -302,7 +302,8 @@ def split_sizes(spark, folder):
     return splits.split_sizes(once(spark, folder, "split"))
 
 
-# The trained rows of these queries are the training rows of one source; their inputs are known by digest.
+# The trained rows of these queries are, as in their SQL, the training rows of one source; their inputs are known by
+# digest. `training_relatives_by_text`, which has no SQL, takes the whole train split.
 _SOURCE = "ashfen_core.json"
 _TRAINED = f"""{_ONCE}, old AS (SELECT * FROM prow WHERE split = 'train' AND source = '{_SOURCE}'),
   tr AS (SELECT id FROM prow WHERE id IN (SELECT id FROM old) OR sha256(input_json) IN (SELECT sha256(input_json) FROM old)),
@@ -315,9 +316,9 @@ _TRAINED = f"""{_ONCE}, old AS (SELECT * FROM prow WHERE split = 'train' AND sou
   rel AS (SELECT id FROM (SELECT id FROM r1 UNION SELECT id FROM prow WHERE group_key IN (SELECT group_key FROM g2)) WHERE id NOT IN (SELECT id FROM tr))"""
 
 
-def _trained(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _trained(spark, folder, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = once(spark, folder, "split", "source", "group_key", "links", "group_members", "input_json").withColumn("fingerprint", F.sha2("input_json", 256))
-    old = rows.where((F.col("split") == "train") & (F.col("source") == _SOURCE))
+    old = rows.where((F.col("split") == "train") & (F.lit(whole) | (F.col("source") == _SOURCE)))
     return rows, old, leakage.trained(rows.select("id", "fingerprint"), old, old)
 
 
@@ -343,7 +344,7 @@ def training_relatives(spark, folder):
 
 @query()
 def training_relatives_by_text(spark, folder):
-    rows, old, seen = _trained(spark, folder)
+    rows, old, seen = _trained(spark, folder, whole=True)
     known = rows.join(texts(spark, folder), "id")
     return leakage.training_relatives(known, seen, leakage.scenario_ids(old), known.join(old.select("id"), "id", "left_semi").select("text"), NEAR)
 

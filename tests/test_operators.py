@@ -202,6 +202,33 @@ def test_relatives(spark):
     assert {r.id for r in leakage.training_relatives(rows, seen, history, texts, 0.9).collect()} == {"s", "l", "m", "n"}
 
 
+def test_relatives_by_text_of_every_source(spark, tmp_path):
+    rng = random.Random(3)
+    given = []
+    for k in range(12):
+        ws = [f"{c}{k}" for c in "abcdefghijkl"]
+        given.append((f"t{k:02}", "train", rng.choice(["ashfen_core.json", "other.json", None]), f"gt{k}", " ".join(ws), f"in {k}"))
+        ws[:k % 4] = [f"new{k}{i}" for i in range(k % 4)]
+        given.append((f"v{k:02}", rng.choice(["val", "test", None]), "other.json", f"gv{k // 2}", " ".join(ws), f"in v{k}"))
+    given.append(("w", "val", "other.json", None, "something else", "in 5"))
+    schema = "id string, split string, source string, group_key string, similarity_text string, input_json string"
+    empty = F.array().cast("array<string>")
+    spark.createDataFrame(given, schema).withColumn("links", empty).withColumn("group_members", empty).write.parquet(str(tmp_path / "prepared_rows.parquet"))
+    inputs = {g[5] for g in given if g[1] == "train"}
+    seen = {g[0] for g in given if g[1] == "train" or g[5] in inputs}
+    counts = {g[0]: Counter(g[4].split()) for g in given if g[0] != "w"}
+    df = Counter(t for c in counts.values() for t in c)
+    vectors = {i: {t: n * (math.log((1 + len(counts)) / (1 + df[t])) + 1) for t, n in c.items()} for i, c in counts.items()}
+    norm = {i: math.sqrt(sum(w * w for w in v.values())) for i, v in vectors.items()}
+    cosine = lambda a, b: sum(w * vectors[b].get(t, 0) for t, w in vectors[a].items()) / norm[a] / norm[b]
+    near = {g[0] for g in given if g[0] not in seen and any(cosine(g[0], o[0]) >= queries.NEAR for o in given if o[1] == "train")}
+    groups = {g[3] for g in given if g[0] in near}
+    want = near | {g[0] for g in given if g[3] in groups and g[0] not in seen}
+    assert near and want < {g[0] for g in given} - seen
+    found = {r.id for r in queries.QUERIES["training_relatives_by_text"](spark, str(tmp_path)).collect()}
+    assert found == want
+
+
 def test_messages(spark):
     decision = f"struct<roll_required: boolean, checks: array<{CHECK}>>"
     df = spark.createDataFrame([("a", (True, [("skill", 'Cl"imb é', "hard")])), ("b", (False, [])), ("c", None), ("d", (True, [("attribute", "Might", "hard")]))], f"id string, d {decision}")
