@@ -11,9 +11,8 @@ least `match` of them are held against the exact similarity.
 * Words that more than `frequent` of all records hold (counted over all of them) take no part in the signature:
   they make unrelated records collide and hardly tell copies apart. They count in the exact check. A record in
   which they are many is (also) posted with all of its words, see `variants`.
-* Prefix and skip: among K coordinates a pair that collides `match` times must collide in the first
-  K - match + 1 of them, so the values of the last ones are only looked at for records already posted with an
-  equal value before; a value held by one record joins with nothing.
+* All coordinates are posted and joined. The method's prefix and skip merging, which would look up the last
+  match - 1 coordinates only for records that collided before, is not done; results are the same.
 
 Expected recall is 1 - P(Binomial(K, J'^width) < match), J' being the similarity of the words that count: above
 0.99 for J' = 0.66 (to which ignored words can lower a J of 0.7) and above 0.9999 for J' = 0.8. The README has
