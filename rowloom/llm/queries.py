@@ -63,6 +63,10 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return rs.torn_sets(rows, rs.related_sets(rows))
 
 
+def p7_sets(spark: SparkSession, folder: str) -> DataFrame:
+    return rs.related_sets(table(spark, folder, "prepared_rows"))
+
+
 def p7_splits(spark: SparkSession, folder: str) -> DataFrame:
     return rs.assigned_splits(table(spark, folder, "prepared_rows"), table(spark, folder, "split_plan"))
 
@@ -105,6 +109,7 @@ def queries() -> dict:
         "p6_found": p6_found,
         "p6_collapsed": p6_collapsed,
         "p7_found": p7_found,
+        "p7_sets": p7_sets,
         "p7_splits": p7_splits,
         "p8_packing": p8_packing,
         "p8_fill": p8_fill,
@@ -118,6 +123,10 @@ def queries() -> dict:
 _IDS = "ids AS (SELECT DISTINCT id FROM prepared_rows WHERE id IS NOT NULL)"
 _REACH = "e AS (SELECT a, b FROM e1 UNION SELECT b, a FROM e1), reach(id, r) AS (SELECT id, id FROM ids UNION SELECT reach.id, e.b FROM reach JOIN e ON e.a = reach.r)"
 
+_RELATED = f"""{_IDS}, e1 AS (SELECT id AS a, group_key AS b FROM prepared_rows WHERE id IS NOT NULL AND trim(group_key) <> ''
+  UNION SELECT id, m FROM (SELECT id, unnest(group_members) AS m FROM prepared_rows) WHERE id IS NOT NULL AND m IN (SELECT id FROM ids)), {_REACH},
+  s AS (SELECT id, min(r) AS set_id FROM reach WHERE r IN (SELECT id FROM ids) GROUP BY id)"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Connected sets are the only results that SQL states over whole tables; the others are tested by brute force."""
@@ -125,9 +134,8 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": f"""WITH RECURSIVE {_IDS}, e0 AS (SELECT id AS a, unnest(links) AS b FROM prepared_rows UNION SELECT id_a, id_b FROM match_pairs),
   e1 AS (SELECT a, b FROM e0 WHERE a <> b AND a IN (SELECT id FROM ids) AND b IN (SELECT id FROM ids)), {_REACH}
   SELECT id, min(r) AS group_id FROM reach GROUP BY id HAVING count(*) > 1""",
-        "p7_found": f"""WITH RECURSIVE {_IDS}, e1 AS (SELECT id AS a, group_key AS b FROM prepared_rows WHERE id IS NOT NULL AND trim(group_key) <> ''
-  UNION SELECT id, m FROM (SELECT id, unnest(group_members) AS m FROM prepared_rows) WHERE id IS NOT NULL AND m IN (SELECT id FROM ids)), {_REACH},
-  s AS (SELECT id, min(r) AS set_id FROM reach WHERE r IN (SELECT id FROM ids) GROUP BY id),
+        "p7_sets": f"""WITH RECURSIVE {_RELATED} SELECT id, set_id FROM s""",
+        "p7_found": f"""WITH RECURSIVE {_RELATED},
   torn AS (SELECT set_id FROM s JOIN prepared_rows USING (id) GROUP BY set_id HAVING count(DISTINCT split) > 1)
   SELECT set_id, id FROM s WHERE set_id IN (SELECT set_id FROM torn)""",
     }

@@ -8,8 +8,8 @@ Method: distributed union-find with local forests merged hierarchically, then gr
    Unless one task then holds everything in one forest, what is still not joined is finished by
    `groups.connected_sets` over the forests, so no task and no driver ever holds all of an unbounded graph.
 3. Sets are dealt to splits largest first, each to the split furthest below its target. Sets of the same size and
-   scope are interchangeable, so the driver deals counts per size (at most sqrt(2 rows) sizes exist), and
-   each set gets its split from its rank among the sets of its size.
+   scope are interchangeable, so the driver deals counts per size (at most sqrt(2 rows) sizes exist, each with and
+   without a row that must go to test), and each set gets its split from its rank among the sets of its size.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import math
 from bisect import bisect_right
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
@@ -97,9 +97,10 @@ def relation_edges(rows: DataFrame, scratch: Scratch) -> DataFrame:
     tie a row to the rows they name. Lists that several rows repeat are taken apart once."""
     ids = rows.where("id IS NOT NULL").select("id").distinct()
     keys = rows.where("id IS NOT NULL AND trim(group_key) <> ''").select(F.col("id").alias("a"), F.col("group_key").alias("b"))
-    listed = rows.where("id IS NOT NULL AND size(group_members) > 0").select("id", "group_members", F.xxhash64("group_members").alias("h"))
-    lists = listed.groupBy("h").agg(F.min("id").alias("first"), F.first("group_members").alias("group_members"))
-    one = lists.select("h", "first", F.explode("group_members").alias("b")).where("b IS NOT NULL")
+    # Lists are one list where their SHA-256 is the same.
+    listed = rows.where("id IS NOT NULL AND size(group_members) > 0").select("id", "group_members", F.unhex(F.sha2(F.to_json("group_members"), 256)).alias("h"))
+    lists = listed.groupBy("h").agg(F.first("group_members").alias("group_members"))
+    one = lists.select("h", F.explode("group_members").alias("b")).where("b IS NOT NULL").distinct()
     named = one.join(ids.select(F.col("id").alias("b")), "b", "left_semi")
     # A list ties its carriers to each other only over a row it names: all carriers hang on one of its named rows.
     anchor = named.groupBy("h").agg(F.min("b").alias("b"))
@@ -179,42 +180,33 @@ def assigned_splits(rows: DataFrame, plan: DataFrame, sets: DataFrame | None = N
     of_set = sets.join(special, "id", "left").groupBy("set_id").agg(F.count("*").alias("size"), F.count("special").alias("special"))
     known = scratch.keep(of_set.select("set_id", "size", (F.col("special") > 0).alias("fixed"), F.pmod(F.xxhash64("set_id"), F.lit(salts)).alias("salt")))
     # Ranks within a size: offsets of its salts, then a row number in each, so no task ranks all sets of one size.
-    per = known.groupBy("size", "fixed", "salt").agg(F.count("*").alias("n")).orderBy("size", "fixed", "salt").collect()
-    offsets, counts = [], {}
-    for r in per:
-        at = counts.get((r["size"], r["fixed"]), 0)
-        offsets.append((r["size"], r["fixed"], r["salt"], at))
-        counts[r["size"], r["fixed"]] = at + r["n"]
+    per = scratch.keep(known.groupBy("size", "fixed", "salt").agg(F.count("*").alias("n")))
+    before = Window.partitionBy("size", "fixed").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    offset = per.select("size", "fixed", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
+    counts = {(r["size"], r["fixed"]): r["n"] for r in per.groupBy("size", "fixed").agg(F.sum("n").alias("n")).collect()}
     runs = deal([(s, f, n) for (s, f), n in counts.items()], shares, sum(s * n for (s, _), n in counts.items()))
-    spark = rows.sparkSession
-    starts = []
-    for (size, fixed), dealt in runs.items():
-        at = 0
+    ends = {}
+    for key, dealt in runs.items():
+        at, ends[key] = 0, ([], [])
         for split, n in dealt:
-            starts.append((size, fixed, at, at + n, split))
+            ends[key][0].append(at)
+            ends[key][1].append(split)
             at += n
-    offset = spark.createDataFrame(offsets, "size long, fixed boolean, salt long, at long")
-    return _ranked(known, offset, starts, sets)
+    return _placed(known, offset, ends, sets)
 
 
-def _ranked(known: DataFrame, offset: DataFrame, starts: list[tuple], sets: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
+def _placed(known: DataFrame, offset: DataFrame, starts: dict[tuple[int, bool], tuple[list[int], list[str]]], sets: DataFrame) -> DataFrame:
+    """The split of every set by its rank among those of its size: `starts` has the ranks at which a split begins."""
     order = Window.partitionBy("size", "fixed", "salt").orderBy("set_id")
-    placed = known.join(F.broadcast(offset), ["size", "fixed", "salt"]).withColumn("rank", F.col("at") + F.row_number().over(order) - 1)
-    table: dict[tuple[int, bool], tuple[list[int], list[str]]] = {}
-    for size, fixed, lo, _, split in starts:
-        at, names = table.setdefault((size, fixed), ([], []))
-        at.append(lo)
-        names.append(split)
+    ranked = known.withColumn("nth", F.row_number().over(order)).join(offset, ["size", "fixed", "salt"])
 
     @F.pandas_udf("string")
     def split_of(size: pd.Series, fixed: pd.Series, rank: pd.Series) -> pd.Series:
         out = []
         for s, f, r in zip(size, fixed, rank):
-            at, names = table[int(s), bool(f)]
+            at, names = starts[int(s), bool(f)]
             out.append(names[bisect_right(at, r) - 1])
         return pd.Series(out, dtype="object")
 
-    splits = placed.select("set_id", split_of("size", "fixed", "rank").alias("split"))
+    splits = ranked.select("set_id", split_of("size", "fixed", F.col("at") + F.col("nth") - 1).alias("split"))
     return sets.join(splits, "set_id").select("id", "set_id", "split")

@@ -102,6 +102,24 @@ def test_a_last_task_that_writes_out_its_forest_is_not_whole(spark):
         spark.conf.set(batch, kept)
 
 
+def test_related_sets_at_every_limit(spark, rows):
+    """Limits on both sides of the numbers of edges and of vertices, batches far below them, one task and many."""
+    given = related_rows(5)
+    want = {(x, min(g)) for g in want_sets(given) for x in g}
+    batch, kept = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(batch, "10")
+    try:
+        for limit, parts in ((2, 8), (30, 8), (70, 1), (95, 8), (110, 1), (130, 8), (1000, 8)):
+            assert pairs(rs.related_sets(rows(*given).repartition(parts), task_edges=limit), "id", "set_id") == want
+    finally:
+        spark.conf.set(batch, kept)
+
+
+def test_lists_of_members_are_told_apart_by_their_content(rows):
+    given = [{"id": i, "group_members": m} for i, m in (("a", ["b", "c"]), ("d", ["b", "c"]), ("e", ["b,c"]), ("b", None), ("c", ["c", "c"]), ("f", ["f"]))]
+    assert pairs(rs.related_sets(rows(*given)), "id", "set_id") == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "a"), ("e", "e"), ("f", "f")}
+
+
 def test_torn_sets(rows):
     given = related_rows(3)
     split = {r["id"]: r["split"] for r in given}
