@@ -11,8 +11,11 @@ least `match` of them are held against the exact similarity.
 * Words that more than `frequent` of all records hold (counted over all of them) take no part in the signature:
   they make unrelated records collide and hardly tell copies apart. They count in the exact check. A record in
   which they are many is (also) posted with all of its words, see `variants`.
-* All coordinates are posted and joined. The method's prefix and skip merging, which would look up the last
-  match - 1 coordinates only for records that collided before, is not done; results are the same.
+* Prefix and skip merging: of two records that agree in `match` of K coordinates, at least one agreement is among the
+  first K - match + 1. Only these lists are merged. The other match - 1 coordinates are never posted: each
+  posting carries sixteen bits of them, and they are compared only for pairs that met in the prefix. A value that one
+  class alone has is skipped by the join, and a pair whose prefix count and rest stay below `match` ends there.
+* Values held by more than `HOT` classes are cut into blocks that meet in tasks of their own.
 
 Expected recall is 1 - P(Binomial(K, J'^width) < match), J' being the similarity of the words that count: above
 0.99 for J' = 0.66 (to which ignored words can lower a J of 0.7) and above 0.9999 for J' = 0.8. The README has
@@ -27,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
-from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
+from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, split_join, variants, word_table
 
 COORDINATES, WIDTH, MATCH = 50, 5, 2
+HOT, REST_BITS = 4_000, 16
 FREQUENT = 0.3
 SIMILARITY = 0.7
 EXPAND_LIMIT = 1000
@@ -49,8 +53,9 @@ class Signer:
         self.mix = rng.integers(1, 1 << 63, width, dtype=np.uint64) | np.uint64(1)
         self.at = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64)
 
-    def sign(self, sets: list[list[str]]) -> list[np.ndarray]:
-        """The coordinate values of each set, of which none is empty; two sets of values for a set with two variants."""
+    def sign(self, sets: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(owners, keys): the places of the sets and the coordinate values of each, twice for a set with two variants. No
+        set is empty."""
         known: dict[str, int] = {}
         hashes: list[int] = []
         owners, kinds, starts, flat = [], [], [], []
@@ -69,37 +74,42 @@ class Signer:
         x = np.array(hashes, "int64").view(np.uint64)
         table = ((x[:, None] * self.mul[None, :] + self.add[None, :]) >> np.uint64(32)).astype(np.uint32)
         flat_at, begin = np.array(flat, "int64"), np.array(starts + [len(flat)])
-        out: list[list[np.ndarray]] = [[] for _ in sets]
+        out = np.empty((len(owners), self.k), np.uint64)
         for lo in range(0, len(owners), 256):
             hi = min(lo + 256, len(owners))
             low = np.minimum.reduceat(table[flat_at[begin[lo] : begin[hi]]], begin[lo:hi] - begin[lo], axis=0)
             mixed = (low[:, self.of].astype(np.uint64) * self.mix).sum(axis=2, dtype=np.uint64) * _STEP
             salt = self.at + np.array(kinds[lo:hi], np.uint64)[:, None] * _STEP
-            keys = ((mixed + salt) * _MIX >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            for owner, row in zip(owners[lo:hi], keys):
-                out[owner].append(row)
-        return [np.concatenate(rows) if len(rows) > 1 else rows[0] for rows in out]
+            keys = (mixed + salt) * _MIX
+            out[lo:hi] = keys ^ keys >> np.uint64(32)
+        return np.array(owners, "int64"), out
 
 
-def signatures(table: DataFrame, coordinates: int, width: int, frequent: float) -> DataFrame:
-    """(cid, keys): the coordinate values of each class of a word table, once per task of it."""
+def signatures(table: DataFrame, coordinates: int, width: int, match: int, frequent: float) -> DataFrame:
+    """(cid, keys, rest) of each class of a word table, once per task of it and variant: the values of the first
+    K - match + 1 coordinates, and bits of the others."""
     ignored = frequent_words(table, frequent)
+    prefix, shifts = coordinates - match + 1, np.arange(match - 1, dtype=np.uint64) * np.uint64(REST_BITS)
 
     def run(batches):
         signer = Signer(coordinates, width, ignored)
         for b in batches:
-            yield pd.DataFrame({"cid": b["cid"], "keys": signer.sign([ws.split(" ") for ws in b["words"]])})
+            owners, keys = signer.sign([ws.split(" ") for ws in b["words"]])
+            rest = ((keys[:, prefix:] >> np.uint64(64 - REST_BITS)) << shifts).sum(axis=1, dtype=np.uint64)
+            yield pd.DataFrame({"cid": b["cid"].to_numpy()[owners], "keys": list(keys[:, :prefix].view(np.int64)), "rest": rest.view(np.int64)})
 
-    return table.where("words IS NOT NULL").select("cid", "words").mapInPandas(run, "cid long, keys array<int>")
+    return table.where("words IS NOT NULL").select("cid", "words").mapInPandas(run, "cid long, keys array<long>, rest long")
 
 
-def class_pairs(table: DataFrame, signed: DataFrame, match: int, similarity: float, scratch: Scratch) -> DataFrame:
+def class_pairs(table: DataFrame, signed: DataFrame, match: int, similarity: float, scratch: Scratch, hot: int = HOT) -> DataFrame:
     """(ca, cb, similarity): classes at or above the similarity, the smaller first."""
-    posted = signed.select("cid", F.explode("keys").alias("key"))
-    left = posted.select("key", F.col("cid").alias("ca")).repartition("key").dropDuplicates(["key", "ca"])
-    right = left.select("key", F.col("ca").alias("cb"))
-    hits = left.join(right, "key").where("ca < cb").groupBy("ca", "cb").agg(F.count("*").alias("n"))
-    pairs = scratch.keep(hits.where(F.col("n") >= match).select("ca", "cb"))
+    posted = signed.select("cid", "rest", F.explode("keys").alias("key"))
+    left = posted.repartition("key").groupBy("key", F.col("cid").alias("ca")).agg(F.min("rest").alias("ra"))
+    right = left.select("key", F.col("ca").alias("cb"), F.col("ra").alias("rb"))
+    bits = lambda c, i: F.shiftrightunsigned(c, REST_BITS * i).bitwiseAND((1 << REST_BITS) - 1)
+    agree = sum(((bits("ra", i) == bits("rb", i)).cast("int") for i in range(match - 1)), F.lit(0))
+    met = split_join(left, right, "key", hot).where("ca < cb").groupBy("ca", "cb").agg(F.count("*").alias("n"), F.max(agree).alias("rest"))
+    pairs = scratch.keep(met.where(F.col("n") + F.col("rest") >= match).select("ca", "cb"))
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
     texts = table.where("words IS NOT NULL").select("cid", "words").join(ends, "cid", "left_semi").dropDuplicates(["cid"])
     a = texts.select(F.col("cid").alias("ca"), F.col("words").alias("wa"))
@@ -126,13 +136,28 @@ def near_duplicates(
     rows: id, similarity_text, input_json and, if there, split; other columns are ignored. The text of a row is
     similarity_text, or where that is null or blank the strings of input_json. Rows without an id or without any word
     are in no pair. A repeated row counts once. More than `expand_limit` rows with one and the same text are paired as
-    a star, see `expand_pairs`; rows with equal words in different texts are all paired.
+    a star, see `expand_pairs`; rows with equal words in different texts are all paired. match: 1 to 5.
     """
+    if not 1 <= match <= min(5, coordinates):
+        raise ValueError("match is 1 to 5, and at most the number of coordinates")
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
     side = side_of(F.col("split")) if "split" in rows.columns else F.lit("")
     table = word_table(row_texts(rows.withColumn("side", side), "side"), scratch)
-    signed = scratch.keep(signatures(table, coordinates, width, frequent))
+    signed = signatures(table, coordinates, width, match, frequent)
     members = table.where("id IS NOT NULL").select("cid", "tid", "side", "id").distinct()
     linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch))
     return expand_pairs(linked, members, expand_limit, scratch), members.select("id", "cid").distinct(), linked
+
+
+def linked_members(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """(id, class_id, n_links) of every row with a word, whatever the size of its class.
+
+    Rows of one class_id, the smallest id among them, have equal words. n_links is the number of other rows that a row is
+    similar to: those of its class and of the classes paired with it. members and linked are what `near_duplicates` returns.
+    """
+    classes = members.groupBy("cid").agg(F.count("*").alias("n"), F.min("id").alias("class_id"))
+    both = linked.select(F.col("ca").alias("at"), F.col("cb").alias("cid")).union(linked.select("cb", "ca"))
+    more = both.join(classes.select("cid", "n"), "cid").groupBy(F.col("at").alias("cid")).agg(F.sum("n").alias("more"))
+    known = classes.join(more, "cid", "left").select("cid", "class_id", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
+    return members.join(known, "cid").select("id", "class_id", "n_links")

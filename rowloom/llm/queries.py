@@ -29,6 +29,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return nd.near_duplicates(table(spark, folder, "prepared_rows"))[0]
 
 
+def p2_members(spark: SparkSession, folder: str) -> DataFrame:
+    return nd.linked_members(*nd.near_duplicates(table(spark, folder, "prepared_rows"))[1:])
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return sl.same_looking_pairs(table(spark, folder, "prepared_rows"))
 
@@ -101,6 +105,7 @@ def queries() -> dict:
     return {
         "p1_found": p1_found,
         "p2_found": p2_found,
+        "p2_members": p2_members,
         "p3_found": p3_found,
         "p3_plain_texts": p3_plain_texts,
         "p4_found": p4_found,
