@@ -136,22 +136,6 @@ def variants(items: list, hashes: list[int], ignored: set[int]) -> list[tuple[in
     return out + ([(1, items)] if 4 * len(rest) < 3 * len(items) else [])
 
 
-def split_join(a: DataFrame, b: DataFrame, key: str, limit: int) -> DataFrame:
-    """a joined with b on `key`, where a key with over `limit` rows of a side is cut into blocks of about that many, so
-    that block i of a and block j of b meet apart from all others. Which keys these are is counted in the same plan."""
-    na, nb = (x.groupBy(key).agg(F.count("*").alias(n)).where(F.col(n) > limit) for x, n in ((a, "na"), (b, "nb")))
-    blocks = lambda n: F.ceil(F.coalesce(n, F.lit(1)) / limit).cast("int")
-    hot = na.join(nb, key, "full").select(key, blocks(F.col("na")).alias("of_a"), blocks(F.col("nb")).alias("of_b")).repartition(key)
-
-    def dealt(x: DataFrame, own: str, other: str) -> DataFrame:
-        block = F.pmod(F.xxhash64(*(c for c in x.columns if c != key)), F.col(f"of_{own}")).cast("int")
-        each = F.explode(F.sequence(F.lit(0), F.col(f"of_{other}") - 1))
-        return x.join(hot, key).select(*x.columns, block.alias(f"in_{own}"), each.alias(f"in_{other}"))
-
-    apart = dealt(a, "a", "b").join(dealt(b, "b", "a"), [key, "in_a", "in_b"]).drop("in_a", "in_b")
-    return a.join(hot, key, "left_anti").join(b, key).unionByName(apart)
-
-
 def _met(pairs: DataFrame, xs: DataFrame, ys: DataFrame, within: str) -> DataFrame:
     """(x, y): a row of xs and one of ys, in one class and meeting `within`, or in ca and cb of paired classes."""
     a, b = xs.select(F.col("cid").alias("ca"), F.col("id").alias("x")), ys.select(F.col("cid").alias("cb"), F.col("id").alias("y"))

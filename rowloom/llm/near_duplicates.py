@@ -13,9 +13,9 @@ least `match` of them are held against the exact similarity.
   which they are many is (also) posted with all of its words, see `variants`.
 * Prefix and skip merging: of two records that agree in `match` of K coordinates, at least one agreement is among the
   first K - match + 1. Only these lists are merged. The other match - 1 coordinates are never posted: each
-  posting carries sixteen bits of them, and they are compared only for pairs that met in the prefix. A value that one
-  class alone has is skipped by the join, and a pair whose prefix count and rest stay below `match` ends there.
-* Values held by more than `HOT` classes are cut into blocks that meet in tasks of their own.
+  posting carries sixteen bits of them beside the 48 of its own value, and they are compared only for pairs that met
+  in the prefix. A value that one class alone has is skipped, and a pair whose prefix count and rest stay below
+  `match` ends there. Values held by more than `HOT` classes are paired in blocks, see `postings`.
 
 Expected recall is 1 - P(Binomial(K, J'^width) < match), J' being the similarity of the words that count: above
 0.99 for J' = 0.66 (to which ignored words can lower a J of 0.7) and above 0.9999 for J' = 0.8. The README has
@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
-from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, split_join, variants, word_table
+from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
+from .postings import meetings, pairs_within
 
 COORDINATES, WIDTH, MATCH = 50, 5, 2
-HOT, REST_BITS = 4_000, 16
+HOT, REST = 4_000, 16
 FREQUENT = 0.3
 SIMILARITY = 0.7
 EXPAND_LIMIT = 1000
@@ -86,29 +87,44 @@ class Signer:
 
 
 def signatures(table: DataFrame, coordinates: int, width: int, match: int, frequent: float) -> DataFrame:
-    """(cid, keys, rest) of each class of a word table, once per task of it and variant: the values of the first
-    K - match + 1 coordinates, and bits of the others."""
+    """(cid, keys) of each class of a word table, once per task of it and variant: the values of the first K - match + 1
+    coordinates, each over `REST` bits of the others."""
     ignored = frequent_words(table, frequent)
-    prefix, shifts = coordinates - match + 1, np.arange(match - 1, dtype=np.uint64) * np.uint64(REST_BITS)
+    prefix, bits = coordinates - match + 1, _bits(match)
+    shifts = np.arange(match - 1, dtype=np.uint64) * np.uint64(bits)
 
     def run(batches):
         signer = Signer(coordinates, width, ignored)
         for b in batches:
             owners, keys = signer.sign([ws.split(" ") for ws in b["words"]])
-            rest = ((keys[:, prefix:] >> np.uint64(64 - REST_BITS)) << shifts).sum(axis=1, dtype=np.uint64)
-            yield pd.DataFrame({"cid": b["cid"].to_numpy()[owners], "keys": list(keys[:, :prefix].view(np.int64)), "rest": rest.view(np.int64)})
+            rest = ((keys[:, prefix:] >> np.uint64(64 - bits)) << shifts).sum(axis=1, dtype=np.uint64)
+            packed = (keys[:, :prefix] & ~np.uint64((1 << REST) - 1)) | rest[:, None]
+            yield pd.DataFrame({"cid": b["cid"].to_numpy()[owners], "keys": list(packed.view(np.int64))})
 
-    return table.where("words IS NOT NULL").select("cid", "words").mapInPandas(run, "cid long, keys array<long>, rest long")
+    return table.where("words IS NOT NULL").select("cid", "words").mapInPandas(run, "cid long, keys array<long>")
+
+
+def _bits(match: int) -> int:
+    """Bits of each coordinate beyond the prefix that a posting carries."""
+    return REST // max(1, match - 1)
 
 
 def class_pairs(table: DataFrame, signed: DataFrame, match: int, similarity: float, scratch: Scratch, hot: int = HOT) -> DataFrame:
     """(ca, cb, similarity): classes at or above the similarity, the smaller first."""
-    posted = signed.select("cid", "rest", F.explode("keys").alias("key"))
-    left = posted.repartition("key").groupBy("key", F.col("cid").alias("ca")).agg(F.min("rest").alias("ra"))
-    right = left.select("key", F.col("ca").alias("cb"), F.col("ra").alias("rb"))
-    bits = lambda c, i: F.shiftrightunsigned(c, REST_BITS * i).bitwiseAND((1 << REST_BITS) - 1)
-    agree = sum(((bits("ra", i) == bits("rb", i)).cast("int") for i in range(match - 1)), F.lit(0))
-    met = split_join(left, right, "key", hot).where("ca < cb").groupBy("ca", "cb").agg(F.count("*").alias("n"), F.max(agree).alias("rest"))
+    bits = _bits(match)
+    low = (1 << bits) - 1
+
+    def fold(ka, kb, la, lb):
+        return None, sum(((ka >> s & low) == (kb >> s & low) for s in range(0, bits * (match - 1), bits)), np.zeros(len(ka)))
+
+    def folded(ka, kb, la, lb):
+        at = lambda c, s: F.shiftright(c, s).bitwiseAND(low)
+        return F.lit(True), sum(((at(ka, s) == at(kb, s)).cast("int") for s in range(0, bits * (match - 1), bits)), F.lit(0))
+
+    posted = signed.select(F.explode("keys").alias("key"), "cid")
+    met = meetings(posted, REST, pairs_within, fold, hot, scratch, lambda ka, kb: F.col("ca") < F.col("cb"), folded)
+    ends = F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")
+    met = met.select(*ends, "v").groupBy("ca", "cb").agg(F.count("*").alias("n"), F.max("v").alias("rest"))
     pairs = scratch.keep(met.where(F.col("n") + F.col("rest") >= match).select("ca", "cb"))
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
     texts = table.where("words IS NOT NULL").select("cid", "words").join(ends, "cid", "left_semi").dropDuplicates(["cid"])

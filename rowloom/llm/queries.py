@@ -49,6 +49,10 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return so.split_overlaps(table(spark, folder, "prepared_rows"))
 
 
+def p5_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    return so.record_overlaps(table(spark, folder, "prepared_rows"))
+
+
 def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "prepared_rows")
     return so.overlap_report(rows, so.split_overlaps(rows))
@@ -110,6 +114,7 @@ def queries() -> dict:
         "p3_plain_texts": p3_plain_texts,
         "p4_found": p4_found,
         "p5_found": p5_found,
+        "p5_overlaps": p5_overlaps,
         "p5_report": p5_report,
         "p6_found": p6_found,
         "p6_collapsed": p6_collapsed,
