@@ -140,23 +140,36 @@ def radix_buckets(entries: DataFrame, capacity: int, scratch: Scratch) -> DataFr
     return reduce(DataFrame.unionByName, buckets)
 
 
-def copy_sets(entries: DataFrame) -> DataFrame:
-    """(digest, n, low, high) of every text in two or more records, counted in one trie per bucket."""
+def text_sets(entries: DataFrame) -> DataFrame:
+    """(digest, n, low, high) of every text: its terminal counter in the trie of its bucket. Buckets come one behind the
+    other, so a task holds one trie at a time."""
+
+    def terminals(trie: CountTrie) -> pd.DataFrame:
+        return pd.DataFrame([(xxhash.xxh3_128_digest(k), *c) for k, c in trie.items()], columns=["digest", "n", "low", "high"])
 
     def run(batches):
-        tries: dict[int, CountTrie] = {}
+        trie, at = CountTrie(), None
         for b in batches:
             for bucket, canon, n, low, high in zip(b["bucket"], b["canon"], b["n"], b["low"], b["high"]):
-                if bucket not in tries:
-                    tries[bucket] = CountTrie()
-                tries[bucket].add(canon, n, low, high)
-        found = [(xxhash.xxh3_128_digest(k), *c) for t in tries.values() for k, c in t.items() if c[1] != c[2]]
-        yield pd.DataFrame(found, columns=["digest", "n", "low", "high"])
-
-    picked = entries.select("bucket", "canon", "n", "low", "high").repartition("bucket")
+                if bucket != at:
+                    if at is not None:
+                        yield terminals(trie)
+                    trie, at = CountTrie(), bucket
+                trie.add(canon, n, low, high)
+        if at is not None:
+            yield terminals(trie)
+
+    picked = entries.select("bucket", "canon", "n", "low", "high").repartition("bucket").sortWithinPartitions("bucket")
     return picked.mapInPandas(run, "digest binary, n long, low string, high string")
 
 
+def _counted(rows: DataFrame, capacity: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(digest, id) of every record, and the sets of `text_sets`."""
+    local = scratch.keep(_local(rows))
+    entries = local.where("canon IS NOT NULL").select("digest", "canon", "n", "low", "high")
+    return local.where("id IS NOT NULL").select("digest", "id"), text_sets(radix_buckets(entries, capacity, scratch))
+
+
 def format_duplicates(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(keep_id, copy_id): for each set of equal records its smallest id and each other id.
 
@@ -165,10 +178,8 @@ def format_duplicates(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
-    local = scratch.keep(_local(rows))
-    entries = local.where("canon IS NOT NULL").select("digest", "canon", "n", "low", "high")
-    sets = scratch.keep(copy_sets(radix_buckets(entries, capacity, scratch)))
-    members = local.where("id IS NOT NULL").select("digest", "id")
+    members, sets = _counted(rows, capacity, scratch)
+    sets = scratch.keep(sets.where("low <> high"))
     # A set that holds over HOT of all rows is met in SALTS partitions instead of one; there are at most 1 / HOT.
     total = members.count()
     hot = sets.where(F.col("n") > HOT * total).select("digest")
@@ -180,6 +191,12 @@ def format_duplicates(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def collapsed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(keep_id, copies): one row per set of equal records with two or more, with the number of its records."""
-    found = format_duplicates(rows, capacity)
-    return found.groupBy("keep_id").agg((F.count("*") + 1).alias("copies"))
+    """(keep_id, copies): one row per set of equal records, single ones too: its smallest id and its number of ids.
+
+    The numbers are the terminal counters, less the records that were delivered again under their own id.
+    """
+    spark = ship(rows.sparkSession)
+    members, sets = _counted(rows, capacity, Scratch(spark))
+    again = members.groupBy("digest", "id").agg((F.count("*") - 1).alias("more")).where("more > 0")
+    surplus = again.groupBy("digest").agg(F.sum("more").alias("more"))
+    return sets.join(surplus, "digest", "left").select(F.col("low").alias("keep_id"), (F.col("n") - F.coalesce("more", F.lit(0))).alias("copies"))

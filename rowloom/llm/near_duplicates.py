@@ -146,6 +146,7 @@ def near_duplicates(
     match: int = MATCH,
     frequent: float = FREQUENT,
     expand_limit: int = EXPAND_LIMIT,
+    hot: int = HOT,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs (id_a, id_b), members (id, cid) and class pairs (ca, cb, similarity) of similar rows.
 
@@ -162,7 +163,7 @@ def near_duplicates(
     table = word_table(row_texts(rows.withColumn("side", side), "side"), scratch)
     signed = signatures(table, coordinates, width, match, frequent)
     members = table.where("id IS NOT NULL").select("cid", "tid", "side", "id").distinct()
-    linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch))
+    linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch, hot))
     return expand_pairs(linked, members, expand_limit, scratch), members.select("id", "cid").distinct(), linked
 
 

@@ -21,6 +21,7 @@ from .plainform import plain, plain_column
 
 ACTIONS = ("player_action", "observed_event")
 FIELDS = ("similarity_text", "input")
+EXPAND_LIMIT = 1000
 
 
 def _digest(*parts: str) -> bytes:
@@ -61,19 +62,35 @@ def looks_of(rows: DataFrame) -> DataFrame:
     return picked.mapInPandas(run, "field string, looks binary, stored binary, id string")
 
 
-def same_looking_pairs(rows: DataFrame) -> DataFrame:
+def same_looking_pairs(rows: DataFrame, expand_limit: int = EXPAND_LIMIT) -> DataFrame:
     """(field, id_a, id_b): two rows whose texts of that field have one plain form but different characters.
 
     rows: id, similarity_text, input_json. Null and blank similarity_text, inputs that are no JSON object and rows
-    without an id take no part. A repeated row counts once. Pairs are formed between different stored forms only.
+    without an id take no part. A repeated row counts once. Pairs are formed between different stored forms only. More
+    than `expand_limit` rows with one and the same stored text are exact copies: their smallest id stands for them in pairs
+    with other forms, and each other one is paired with the smallest id of every form that looks like theirs.
     """
     ship(rows.sparkSession)
-    looks = Scratch(rows.sparkSession).keep(looks_of(rows))
+    scratch = Scratch(rows.sparkSession)
+    looks = scratch.keep(looks_of(rows))
     varied = looks.groupBy("field", "looks").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo <> hi")
     some = looks.join(varied.select("field", "looks"), ["field", "looks"], "left_semi").distinct()
-    a = some.select("field", "looks", F.col("stored").alias("sa"), F.col("id").alias("id_a"))
-    b = some.select("field", "looks", F.col("stored").alias("sb"), F.col("id").alias("id_b"))
-    return a.join(b, ["field", "looks"]).where("sa <> sb AND id_a < id_b").select("field", "id_a", "id_b").distinct()
+    form = ["field", "looks", "stored"]
+    forms = some.groupBy(*form).agg(F.count("*").alias("n"), F.min("id").alias("rep"))
+    large = scratch.keep(forms.where(F.col("n") > expand_limit).select(*form, "rep"))
+    if large.isEmpty():
+        return _differing(some, some, "id_a < id_b").select("field", "id_a", "id_b").distinct()
+    standing = some.join(large, form, "left").where("rep IS NULL OR rep = id").drop("rep")
+    rest = some.join(large, form).where("id <> rep").drop("rep")
+    met = _differing(standing, standing, "id_a < id_b").unionByName(_differing(rest, forms.withColumnRenamed("rep", "id"), "true"))
+    return met.select("field", F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).where("id_a <> id_b").distinct()
+
+
+def _differing(xs: DataFrame, ys: DataFrame, where: str) -> DataFrame:
+    """(field, id_a, id_b): a row of xs and one of ys that look the same and are stored differently."""
+    a = xs.select("field", "looks", F.col("stored").alias("sa"), F.col("id").alias("id_a"))
+    b = ys.select("field", "looks", F.col("stored").alias("sb"), F.col("id").alias("id_b"))
+    return a.join(b, ["field", "looks"]).where(f"sa <> sb AND {where}").select("field", "id_a", "id_b")
 
 
 def plain_texts(rows: DataFrame) -> DataFrame:

@@ -97,6 +97,59 @@ def test_near_copies_of_one_text_that_fill_the_table(rows):
     assert found <= across and len(found) >= 0.98 * len(across)
 
 
+def test_hot_values_are_paired_in_blocks(rows):
+    base = text(2)
+    texts = {f"h{k:02}": edited(base, k % 5, k) for k in range(30)} | {f"o{k}": text(50 + k) for k in range(70)}
+    given = [{"id": i, "similarity_text": t, "split": "train" if int(i[1:]) % 2 else "test"} for i, t in texts.items()]
+    want = brute(texts)
+    for hot in (1, 2, 7):
+        found = pairs(nd.near_duplicates(rows(*given), hot=hot)[0], "id_a", "id_b")
+        assert found == pairs(nd.near_duplicates(rows(*given))[0], "id_a", "id_b") and found <= want and len(found) >= 0.99 * len(want)
+        across = pairs(so.split_overlaps(rows(*given), hot=hot), "id_a", "id_b")
+        assert across == {(a, b) for a, b in want if (int(a[1:]) + int(b[1:])) % 2}
+
+
+def test_more_coordinates_asked_for(rows):
+    texts = corpus()
+    given = [{"id": i, "similarity_text": t} for i, t in texts.items()]
+    close = {p for p in brute(texts, 0.85)}
+    for match in (1, 3, 5):
+        found = pairs(nd.near_duplicates(rows(*given), match=match, width=3)[0], "id_a", "id_b")
+        assert close <= found <= brute(texts)
+
+
+def test_linked_members(rows):
+    texts = corpus()
+    given = [{"id": i, "similarity_text": t} for i, t in texts.items()]
+    given += given[:3] + [{"id": "none", "similarity_text": "?"}]
+    found, members, linked = nd.near_duplicates(rows(*given))
+    links = {i: 0 for i in texts}
+    for p in pairs(found, "id_a", "id_b"):
+        for i in p:
+            links[i] += 1
+    small = nd.near_duplicates(rows(*given), expand_limit=2)
+    for m in (nd.linked_members(members, linked), nd.linked_members(*small[1:])):
+        out = {r.id: r for r in m.collect()}
+        assert {i: r.n_links for i, r in out.items()} == links
+        assert all(out[f"z{k}"].class_id == "z0" for k in range(8)) and out["y1"].class_id == "y0"
+
+
+def test_record_overlaps(rows):
+    base = text(3, 60)
+    given = [
+        {"id": "t0", "split": "train", "similarity_text": base},
+        {"id": "t1", "split": "train", "similarity_text": "short words"},
+        {"id": "v0", "split": "val", "similarity_text": base.upper()},
+        {"id": "v1", "split": "test", "similarity_text": edited(base, 6, 1)},
+        {"id": "v2", "split": "val", "similarity_text": text(9)},
+        {"id": "n", "split": None, "similarity_text": base},
+        {"id": "e", "split": "val", "similarity_text": " "},
+    ]
+    out = {r.id: (r.side, r.overlap) for r in so.record_overlaps(rows(*given, given[2])).collect()}
+    assert set(out) == {"t0", "t1", "v0", "v1", "v2"}
+    assert out["t0"] == ("t", 1.0) and out["v0"] == ("h", 1.0) and out["v2"][1] == out["t1"][1] == 0 and 0.1 < out["v1"][1] < 0.9
+
+
 def test_empty(rows):
     assert nd.near_duplicates(rows())[0].count() == 0
     assert so.split_overlaps(rows()).count() == 0
@@ -142,6 +195,16 @@ def test_same_looking(rows):
     assert {(r.id, r.plain_text, r.changed) for r in sl.plain_texts(rows(*given)).collect() if r.id in ("a", "b", "f")} >= {("a", "Cold stone", True), ("f", "", False)}
 
 
+def test_same_looking_forms_on_many_rows(rows):
+    """Exact copies beyond the limit: their smallest id stands for them, and no row and no two forms lose their link."""
+    given = [{"id": f"a{k}", "similarity_text": "cold stone"} for k in range(5)] + [{"id": f"b{k}", "similarity_text": "cold  stone"} for k in range(4)] + [{"id": "c", "similarity_text": "cold\tstone"}]
+    every = {(f"a{i}", f"b{k}") for i in range(5) for k in range(4)} | {(f"a{i}", "c") for i in range(5)} | {(f"b{i}", "c") for i in range(4)}
+    assert {(a, b) for _, a, b in pairs(sl.same_looking_pairs(rows(*given)), "field", "id_a", "id_b")} == every
+    found = {(a, b) for _, a, b in pairs(sl.same_looking_pairs(rows(*given), expand_limit=3), "field", "id_a", "id_b")}
+    stars = {("a0", f"b{k}") for k in range(4)} | {(f"a{k}", "b0") for k in range(5)} | {(f"a{k}", "c") for k in range(5)} | {(f"b{k}", "c") for k in range(4)}
+    assert found == stars and {i for p in found for i in p} == {r["id"] for r in given}
+
+
 def test_format_duplicates(rows):
     given = [
         {"id": "b", "input_json": as_input("The Door, is shut!", "go", runtime_state={"a": [1], "b": None})},
@@ -155,7 +218,8 @@ def test_format_duplicates(rows):
         {"id": "h", "input_json": ""},
     ]
     assert pairs(fd.format_duplicates(rows(*given, *given)), "keep_id", "copy_id") == {("a", "b"), ("e", "f")}
-    assert pairs(fd.collapsed(rows(*given)), "keep_id", "copies") == {("a", 2), ("e", 2)}
+    assert pairs(fd.collapsed(rows(*given)), "keep_id", "copies") == {("a", 2), ("c", 1), ("d", 1), ("e", 2), ("h", 1)}
+    assert pairs(fd.collapsed(rows(*given, given[0], *given[3:5])), "keep_id", "copies") == {("a", 2), ("c", 1), ("d", 1), ("e", 2), ("h", 1)}
 
 
 def test_radix_splits_until_buckets_fit(rows):
