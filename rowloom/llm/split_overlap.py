@@ -8,14 +8,15 @@ shared chunks are summed into overlap fractions: of two records (`split_overlaps
 other side (`record_overlaps`). Records are cut in `passes` different orders, as an edit that breaks a chunk in one
 order leaves others whole. Pairs whose fraction reaches `overlap` are held against the exact similarity of the words.
 
-* Chunks of under `least_length` words, which grows with the record from one to three, are not posted.
+* Chunks of under `least_length` words, which grows with the record from one to four, are not posted: shorter ones are shared by
+  unrelated records.
 * Words that more than `frequent` of all records hold take no part in chunks, unless they are many in a record (see
   `variants`); they count in the exact check.
 * A chunk that is not shared meets nothing in the join; records of one split never meet. Chunks that more than `HOT`
   records share are paired in blocks, see `postings`.
 
-Two records of similarity 0.7 have fractions of about 0.12, and of below 0.03 in under one of 400 cases at any length;
-records of similarity 0.4 have about 0.015. The README has measured figures.
+`overlap` is two shared chunks or more for most lengths. Two records of similarity 0.7 have a fraction of about 0.05, and one
+below `overlap` in about one of 200 cases at the worst length, 34 words. The README has measured figures.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from ..session import Scratch, ship
 from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
 from .postings import meetings, pairs_across
 
-PASSES, CUT, OVERLAP = 12, 2, 0.025
+PASSES, CUT, OVERLAP = 20, 2, 0.0075
 FREQUENT, SIMILARITY, EXPAND_LIMIT, HOT = 0.3, 0.7, 1000, 4_000
 #: Low bits of a digest: the chunk's number of words, below 256 but for a chance of 2 ** -255, and above them the side.
 LENGTH_BITS, SIDE_BIT, SHIFT = 8, 8, 9
@@ -38,7 +39,7 @@ _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 def least_length(n: int) -> int:
     """Words of a posted chunk, at least, of a record of n."""
-    return 1 if n < 12 else 2 if n < 22 else 3
+    return 1 if n < 12 else 2 if n < 20 else 3 if n < 34 else 4
 
 
 class Chunker:
