@@ -2,41 +2,95 @@
 
 Method: winnowing. A text is a sequence of words (plain lower-case form; each Chinese character is a word). Of the
 hashes of its k-grams the smallest of every `window` successive ones is kept as a fingerprint, so two texts that share
-k + window - 1 successive words share a fingerprint. Documents and evaluation items are joined on fingerprints; the
-hits of a document and an item are extended to the longest equal runs, and runs are chained in order, over gaps of up
-to `gap` words of the document, into the passage that covers most of the item. Words equal in order inside a short
-gap on both sides count as covered. An item is leaked if the passage covers at least `share` of its words.
-
-The evaluation set is the small side: its index is built in blocks of `block` items, whose size is thereby bounded,
-and each block meets all documents in their own tasks. Documents are never shuffled.
+k + window - 1 successive words share a fingerprint. Documents and evaluation items are joined on fingerprints, and one
+that they share makes a candidate. Candidates are extended: equal runs of words are chained in order, over gaps of up to
+`gap` words of the document, into the passage that covers most of the item. Words that are equal in order inside a
+short gap on both sides count as covered, words that were exchanged do not: texts made by one pattern would count as
+each other's passages. An item is leaked if the passage covers at least `share` of its words.
+
+Each document is read and winnowed once, whatever the number of items. Items and their fingerprints are tables. Both
+joins choose by the measured size of the side of the items and of the candidates, which are written first: below Spark's
+broadcast threshold documents and their fingerprints are not shuffled, above it they meet by key.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import Scratch, ship
 from .plainform import words
 
 #: A passage that is held with its wording changed a little covers less than it holds, so half of an item is asked for as 0.47.
-K, WINDOW, GAP, SHARE, BLOCK = 4, 3, 40, 0.47, 20_000
+K, WINDOW, GAP, SHARE = 4, 3, 40, 0.47
 SEED_RUN, FILL = 3, 12
-
-
-def grams(ws: list[str], k: int) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(" ".join(ws[i : i + k]).encode("utf-8", "surrogatepass")) for i in range(len(ws) - k + 1)]
-
-
-def winnow(hashes: list[int], window: int) -> set[int]:
-    """The smallest hash of every window; of all hashes where they are fewer than a window."""
-    if len(hashes) <= window:
-        return {min(hashes)} if hashes else set()
-    return {min(hashes[i : i + window]) for i in range(len(hashes) - window + 1)}
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def grams(hashes: np.ndarray, owner: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digest, owner) of every k successive words of one text, of texts that stand behind each other."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return hashes[:0], owner[:0]
+    whole = owner[:n] == owner[k - 1 :]
+    g = np.full(n, k, np.uint64)
+    for i in range(k):
+        g = (g ^ (g >> np.uint64(29))) * _STEP + hashes[i : i + n]
+    g *= _MIX
+    return (g ^ (g >> np.uint64(32)))[whole], owner[:n][whole]
+
+
+def winnow(digests: np.ndarray, owner: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digest, owner) of the smallest of every window; of all grams of a text that has fewer than a window."""
+    if not len(digests):
+        return digests, owner
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    few = np.diff(np.r_[starts, len(owner)]) < window
+    n = len(digests) - window + 1
+    low = digests[: max(n, 0)].copy()
+    for i in range(1, window):
+        np.minimum(low, digests[i : i + n], out=low) if n > 0 else None
+    whole = owner[: max(n, 0)] == owner[window - 1 :] if n > 0 else np.array([], bool)
+    out = np.r_[low[whole], np.minimum.reduceat(digests, starts)[few]]
+    of = np.r_[owner[: max(n, 0)][whole], owner[starts][few]]
+    fresh = np.r_[True, (out[1:] != out[:-1]) | (of[1:] != of[:-1])]
+    return out[fresh], of[fresh]
+
+
+def fingerprints(texts: DataFrame, key: str, k: int, window: int, lengths: tuple[int, ...], whole: bool) -> DataFrame:
+    """(key, digest): the fingerprints of every text. Lengths are those of short items, which must stand whole: such an
+    item (`whole`) has one digest, of all its words, and a document those of all its runs of these lengths."""
+
+    def run(batches):
+        known = _Hashes()
+        for b in batches:
+            lists = [words(t) for t in b["text"]]
+            sizes = np.array([len(ws) for ws in lists], "int64")
+            flat = np.array([known[w] for ws in lists for w in ws], np.uint64)
+            owner = np.repeat(np.arange(len(lists)), sizes)
+            short = np.isin(sizes, lengths)[owner] if whole else np.zeros(len(owner), bool)
+            parts = [winnow(*grams(flat[~short], owner[~short], k), window)]
+            parts += [grams(flat, owner, n) for n in lengths if not whole] + [grams(flat[at], owner[at], n) for n in lengths if whole for at in [np.isin(owner, np.flatnonzero(sizes == n))]]
+            digest, of = (np.concatenate(x) for x in zip(*parts))
+            yield pd.DataFrame({key: b[key].to_numpy()[of], "digest": digest.view(np.int64)})
+
+    return texts.select(key, "text").mapInPandas(run, f"{key} long, digest long")
 
 
 def equal_runs(doc: list[str], item_grams: dict[tuple, list[int]], item: list[str]) -> list[tuple[int, int, int]]:
@@ -65,10 +119,10 @@ def common_in_order(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-def covered(doc: list[str], item: list[str], item_grams: dict[tuple, list[int]], gap: int) -> int:
-    """Words of the item that its best passage in the document covers."""
+def covered(doc: list[str], item: list[str], item_grams: dict[tuple, list[int]], gap: int) -> tuple[int, int, int]:
+    """(words, begin, end): how many words of the item its best passage covers, and where it stands in the document."""
     runs = equal_runs(doc, item_grams, item)
-    best = [n for *_, n in runs]
+    best = [(n, j) for j, _, n in runs]
     reach = len(item) + gap
     for a, (j, i, n) in enumerate(runs):
         for b in range(a - 1, -1, -1):
@@ -77,82 +131,84 @@ def covered(doc: list[str], item: list[str], item_grams: dict[tuple, list[int]],
                 break
             if pi >= i or pj >= j:
                 continue
+            so_far, begin = best[b]
             over = max(pj + pn - j, pi + pn - i)
             if over > 0:
-                best[a] = max(best[a], best[b] + n - over) if over < n else best[a]
+                best[a] = max(best[a], (so_far + n - over, begin)) if over < n else best[a]
             elif j - pj - pn <= gap:
                 between = doc[pj + pn : j], item[pi + pn : i]
                 extra = common_in_order(*between) if len(between[0]) <= FILL and len(between[1]) <= FILL else 0
-                best[a] = max(best[a], best[b] + n + extra)
-    return max(best, default=0)
-
+                best[a] = max(best[a], (so_far + n + extra, begin))
+    if not runs:
+        return 0, 0, 0
+    top = max(range(len(runs)), key=lambda a: (best[a][0], -a))
+    return best[top][0], best[top][1], runs[top][0] + runs[top][2]
 
-class Items:
-    """A block of evaluation items, indexed by fingerprint."""
 
-    def __init__(self, items: list[tuple[int, str]], k: int, window: int, gap: int, share: float):
-        self.k, self.window, self.gap, self.share = k, window, gap, share
-        self.items: dict[int, tuple[list[str], dict, int]] = {}
-        self.index: dict[int, list[int]] = defaultdict(list)
-        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for at, (_, text) in enumerate(items):
-            ws = words(text)
-            seeds: dict[tuple, list[int]] = defaultdict(list)
-            for i in range(len(ws) - SEED_RUN + 1):
-                seeds[tuple(ws[i : i + SEED_RUN])].append(i)
-            found = winnow(grams(ws, k), window)
-            self.items[at] = (ws, seeds, 2 if len(found) >= 8 else 1)
-            for h in found:
-                self.index[h].append(at)
-            if 0 < len(ws) < k:
-                self.short[len(ws)][grams(ws, len(ws))[0]].append(at)
-
-    def leaked(self, text: str) -> list[int]:
-        ws = words(text)
-        hits: dict[int, int] = defaultdict(int)
-        for h in winnow(grams(ws, self.k), self.window):
-            for at in self.index.get(h, ()):
-                hits[at] += 1
-        out = []
-        for at, n in hits.items():
-            item, seeds, least = self.items[at]
-            if n >= least and covered(ws, item, seeds, self.gap) >= self.share * len(item):
-                out.append(at)
-        for n, known in self.short.items():
-            out += {at for h in grams(ws, n) for at in known.get(h, ())}
-        return out
-
-
-def leaked_items(
-    documents: DataFrame, items: DataFrame, share: float = SHARE, k: int = K, window: int = WINDOW, gap: int = GAP, block: int = BLOCK
-) -> DataFrame:
-    """(doc_id, item_id): documents with the items they hold at least `share` of in one passage.
+def passages(documents: DataFrame, items: DataFrame, share: float = SHARE, k: int = K, window: int = WINDOW, gap: int = GAP) -> DataFrame:
+    """(doc_id, item_id, share, begin_word, end_word): for each document and item that share a fingerprint, the share of
+    the item's words that its best passage in the document covers, if that is at least `share`, and where the passage
+    stands (words, the end excluded).
 
     documents: doc_id, text; items: item_id, text. Null ids, null texts and texts without a word are in no row. Items
-    of fewer than k words must stand whole. Equal items are all reported; repeats of a row give one row.
+    of fewer than k + window - 1 words must stand whole and have the share 1. An item id with several texts counts with
+    each, the best passage first; repeats of a row give one row.
     """
     spark = ship(documents.sparkSession)
-    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct().orderBy("item_id", "text")
+    scratch = Scratch(spark)
+    counted = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
+    rows = scratch.keep(counted.withColumn("tid", F.xxhash64("item_id", "text")))
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    found = spark.createDataFrame([], "doc_id long, item_id long")
-    part: list[tuple[int, str]] = []
-
-    def meet(some: list[tuple[int, str]]) -> DataFrame:
-        def run(batches):
-            index = Items(some, k, window, gap, share)
-            for b in batches:
-                out = [(d, some[at][0]) for d, t in zip(b["doc_id"], b["text"]) for at in index.leaked(t)]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id"])
-
-        return docs.mapInPandas(run, "doc_id long, item_id long")
-
-    for r in rows.toLocalIterator():
-        part.append((r.item_id, r.text))
-        if len(part) == block:
-            found, part = found.unionByName(meet(part)), []
-    if part:
-        found = found.unionByName(meet(part))
-    return found.distinct()
+    shortest = k + window - 1
+
+    def lengths(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [len(words(t)) for t in b["text"]]})
+
+    found = rows.select("text").mapInPandas(lengths, "n int").where(f"n > 0 AND n < {shortest}").distinct().collect()
+    short = tuple(sorted(r.n for r in found))
+    item_prints = scratch.keep(fingerprints(rows.select(F.col("tid"), "text"), "tid", k, window, short, True).distinct())
+    hits = fingerprints(docs, "doc_id", k, window, short, False).join(item_prints, "digest").select("doc_id", "tid").distinct()
+    candidates = scratch.keep(hits)
+    met = docs.join(candidates, "doc_id").join(rows.select("tid", "item_id", F.col("text").alias("item")), "tid")
+
+    def run(batches):
+        @lru_cache(maxsize=4096)
+        def known(text: str) -> tuple[list[str], dict]:
+            ws = words(text)
+            seeds: dict[tuple, list[int]] = defaultdict(list)
+            for i in range(len(ws) - SEED_RUN + 1):
+                seeds[tuple(ws[i : i + SEED_RUN])].append(i)
+            return ws, seeds
+
+        last, ws, has = None, [], set()
+        for b in batches:
+            out = []
+            for d, t, i, x in zip(b["doc_id"], b["text"], b["item_id"], b["item"]):
+                if t != last:
+                    last, ws = t, words(t)
+                    has = set(ws)
+                item, seeds = known(x)
+                # No passage covers more of an item than the words of it that stand anywhere in the document.
+                if sum(map(has.__contains__, item)) < share * len(item):
+                    continue
+                if len(item) < shortest:
+                    at = next((p for p in range(len(ws) - len(item) + 1) if ws[p : p + len(item)] == item), None)
+                    n, begin, end = (len(item), at, at + len(item)) if at is not None else (0, 0, 0)
+                else:
+                    n, begin, end = covered(ws, item, seeds, gap)
+                if n >= share * len(item):
+                    out.append((d, i, n / len(item), begin, end))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "begin_word", "end_word"])
+
+    every = met.select("doc_id", "text", "item_id", "item").mapInPandas(run, "doc_id long, item_id long, share double, begin_word int, end_word int")
+    best = F.max(F.struct("share", (-F.col("begin_word")).alias("b"), (-F.col("end_word")).alias("e"))).alias("m")
+    return every.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.share", (-F.col("m.b")).alias("begin_word"), (-F.col("m.e")).alias("end_word"))
+
+
+def leaked_items(documents: DataFrame, items: DataFrame, share: float = SHARE, k: int = K, window: int = WINDOW, gap: int = GAP) -> DataFrame:
+    """(doc_id, item_id): documents with the items they hold at least `share` of in one passage, see `passages`."""
+    return passages(documents, items, share, k, window, gap).select("doc_id", "item_id")
 
 
 def leak_report(items: DataFrame, found: DataFrame) -> DataFrame:

@@ -92,6 +92,10 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return lk.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return lk.passages(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
 def p9_report(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "eval_items")
     return lk.leak_report(items, lk.leaked_items(table(spark, folder, "documents"), items))
@@ -124,6 +128,7 @@ def queries() -> dict:
         "p8_packing": p8_packing,
         "p8_fill": p8_fill,
         "p9_found": p9_found,
+        "p9_passages": p9_passages,
         "p9_report": p9_report,
         "p10_found": p10_found,
         "p10_composition": p10_composition,

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -19,12 +20,31 @@ def passage(seed, n):
     return [rng.choice(VOCABULARY) for _ in range(n)]
 
 
+def prints(*texts):
+    """The fingerprints of each text."""
+    known = lk._Hashes()
+    flat = np.array([known[w] for ws in texts for w in ws], np.uint64)
+    owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in texts])
+    digest, of = lk.winnow(*lk.grams(flat, owner, lk.K), lk.WINDOW)
+    return [set(digest[of == i].tolist()) for i in range(len(texts))]
+
+
 def test_winnowing_keeps_every_long_shared_span():
     a, b = passage(1, 200), passage(2, 200)
     for at in range(0, 150, 10):
         shared = passage(3, lk.K + lk.WINDOW - 1)
-        x, y = a[:at] + shared + a[at:], b[:50] + shared + b[50:]
-        assert lk.winnow(lk.grams(x, lk.K), lk.WINDOW) & lk.winnow(lk.grams(y, lk.K), lk.WINDOW)
+        x, _, y = prints(a[:at] + shared + a[at:], shared[:3], b[:50] + shared + b[50:])
+        assert x & y
+
+
+def test_winnowing_keeps_the_smallest_gram_of_every_window():
+    texts = [passage(k, n) for k, n in enumerate((0, 3, 4, 5, 6, 40, 7))]
+    known = lk._Hashes()
+    for ws, got in zip(texts, prints(*texts)):
+        hashes = np.array([known[w] for w in ws], np.uint64)
+        g = lk.grams(hashes, np.zeros(len(ws), int), lk.K)[0].tolist()
+        want = {min(g[i : i + lk.WINDOW]) for i in range(len(g) - lk.WINDOW + 1)} if len(g) >= lk.WINDOW else {min(g)} if g else set()
+        assert got == want
 
 
 def test_leaked_items(spark):
@@ -43,13 +63,33 @@ def test_leaked_items(spark):
     items = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, ""), (4, "a b"), (None, "a b"), (5, " ".join(item))], "item_id long, text string")
     found = pairs(lk.leaked_items(documents, items), "doc_id", "item_id")
     assert found == {(d, i) for d in (1, 2, 3, 7) for i in (1, 5)} | {(6, 4)}
-    assert pairs(lk.leaked_items(documents, items, block=1), "doc_id", "item_id") == found
+    held = {(r.doc_id, r.item_id): (round(r.share, 2), r.begin_word, r.end_word) for r in lk.passages(documents, items).collect()}
+    assert set(held) == found and held[1, 1] == (1.0, 80, 140) and held[6, 4] == (1.0, 0, 2)
+    few = {(r.doc_id, r.item_id): r.share for r in lk.passages(documents, items, share=0.3).collect()}
+    assert set(few) == found | {(4, 1), (4, 5)} and abs(few[4, 1] - 1 / 3) < 0.01
     assert lk.leaked_items(documents, items.limit(0)).count() == 0
     assert lk.leaked_items(documents.limit(0), items).count() == 0
     sourced = items.selectExpr("item_id", "text", "'test' AS split", "'s' AS source")
     assert {(r.item_id, r.n_documents) for r in lk.leak_report(sourced, lk.leaked_items(documents, items)).collect()} == {(1, 4), (2, 0), (3, 0), (4, 1), (5, 4)}
 
 
+def test_reworded_halves_of_items(spark):
+    """Three fifths of an item with one word in twelve exchanged; a third of an item never."""
+    rng = random.Random(4)
+    items = {k: passage(1000 + k, rng.randrange(40, 90)) for k in range(60)}
+    docs = []
+    for k, ws in items.items():
+        n = len(ws) * 3 // 5
+        at = rng.randrange(len(ws) - n + 1)
+        part = [w if rng.random() > 1 / 12 else "exchanged" for w in ws[at : at + n]]
+        docs.append((k, " ".join(passage(2000 + k, 60) + part + passage(3000 + k, 60))))
+        docs.append((100 + k, " ".join(passage(4000 + k, 60) + ws[: len(ws) // 3] + passage(5000 + k, 60))))
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    listed = spark.createDataFrame([(k, " ".join(ws)) for k, ws in items.items()], "item_id long, text string")
+    found = pairs(lk.leaked_items(documents, listed), "doc_id", "item_id")
+    assert found <= {(k, k) for k in items} and len(found) >= 0.9 * len(items)
+
+
 @pytest.mark.parametrize("seed", range(25))
 def test_bin_completion_is_a_packing_and_no_worse_than_best_fit(seed):
     rng = random.Random(seed)
