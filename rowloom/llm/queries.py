@@ -20,9 +20,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+def _typed(spark: SparkSession, folder: str) -> tuple[DataFrame, list[tuple[str, str]]]:
     entries = cm.catalog_entries(table(spark, folder, "catalog_skills"), table(spark, folder, "catalog_attributes"))
-    return cm.mapped_values(cm.uncoded(table(spark, folder, "annotations")), entries)
+    return cm.uncoded(table(spark, folder, "annotations")), entries
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return cm.mapped_values(*_typed(spark, folder))
+
+
+def p1_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    return cm.candidate_values(*_typed(spark, folder))
+
+
+def p1_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    return cm.unmatched_values(*_typed(spark, folder))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,6 +124,8 @@ def p10_composition(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found,
+        "p1_candidates": p1_candidates,
+        "p1_unmatched": p1_unmatched,
         "p2_found": p2_found,
         "p2_members": p2_members,
         "p3_found": p3_found,

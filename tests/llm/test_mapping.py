@@ -33,7 +33,53 @@ def mapper():
     ],
 )
 def test_typed(mapper, typed, names):
-    assert sorted(n for _, n in mapper.map(typed)) == sorted(names)
+    assert sorted(n for _, n in mapper.map(mapper.parts(typed))) == sorted(names)
+
+
+def test_words_of_names_are_no_fillers():
+    entries = [("skill", n) for n in ("Art and Craft", "Use Rope", "Check Pulse", "Hard Bargain", "Fight or Flight")]
+    mapper = cm.Mapper(entries)
+    for _, name in entries:
+        for typed in (name, name.lower() + " please", name[:-1]):
+            assert mapper.map(mapper.parts(typed)) == [("skill", name)]
+
+
+def test_long_names_in_any_order():
+    names = ["one two three four five six seven eight nine", "ten eleven twelve"]
+    mapper = cm.Mapper([("skill", n) for n in names])
+    ws = names[0].split()
+    for seed in range(5):
+        random.Random(seed).shuffle(ws)
+        assert mapper.map(mapper.parts(" ".join(ws))) == [("skill", names[0])]
+    assert mapper.map(mapper.parts("twelve eleven ten")) == mapper.map(mapper.parts("eleventwelveten")) == [("skill", names[1])]
+
+
+def test_the_best_names_are_among_all_candidates(mapper):
+    """Looking up longer runs first and errors one by one gives what all runs with all errors give."""
+    rng = random.Random(8)
+    pieces = ["rope", "work", "beast", "lore", "old", "ostrel", "speech", "might", "wits", "eavesdropping", "dragon", "wall"]
+    for _ in range(300):
+        ws = [list(rng.choice(pieces)) for _ in range(rng.randrange(1, 6))]
+        for w in ws:
+            for _ in range(rng.choice((0, 0, 1, 2))):
+                w[rng.randrange(len(w))] = rng.choice("abcdersw")
+        typed = tuple("".join(w) for w in ws)
+        spans = [(lo, hi, c, n) for lo in range(len(typed)) for hi in range(lo + 1, min(lo + mapper.longest + 1, len(typed)) + 1) for n, c in mapper.every(typed[lo:hi]).items()]
+        taken, want = set(), []
+        for lo, hi, _, name in sorted(spans, key=lambda s: (s[2] - 1.5 * (s[1] - s[0]), s[2], s[0], s[3])):
+            if taken.isdisjoint(range(lo, hi)):
+                taken.update(range(lo, hi))
+                want.append(mapper.names[name])
+        assert sorted(mapper.map([typed])) == sorted(set(want))
+
+
+def test_reports_of_values(spark):
+    given = [("a", "Might!"), ("a", "Might!"), ("b", "might"), ("c", "dragon"), ("d", "Dragon?"), ("e", "?"), ("f", None), (None, "dragon"), ("g", "old ostrel speech")]
+    df = spark.createDataFrame(given, "id string, raw_response string")
+    assert pairs(cm.unmatched_values(df, ENTRIES), "value", "n_records") == {("dragon", 2), ("", 1)}
+    found = {(r.value, r.label_name): (r.cost, r.n_records) for r in cm.candidate_values(df, ENTRIES).collect()}
+    assert found["might", "Might"] == (0.0, 2) and {n for v, n in found if v == "old ostrel speech"} == {"Speech (Old Ostrel)", "Speech (Ostrel)"}
+    assert cm.candidate_values(df.limit(0), ENTRIES).count() == 0 and cm.unmatched_values(df, []).count() == 4
 
 
 def distance(a, b):
