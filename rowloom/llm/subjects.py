@@ -23,11 +23,12 @@ refined iteratively.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
@@ -40,134 +41,272 @@ _SENTENCE = re.compile(r"[.!?。！？]+|\n\s*\n")
 _HAN = "㐀-䶿一-鿿"
 _TERM = re.compile(f"[{_HAN}]+|[^\\W\\d_{_HAN}]+")
 _LETTER = re.compile(r"\w")
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Documents whose matrix is multiplied at once.
+ROWS = 1000
+
+
+class Tokeniser:
+    """Terms of texts as 64-bit hashes, which differ by script (1: the sentence holds Chinese characters)."""
+
+    def __init__(self):
+        self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
+
+    def _hash(self, term: str, script: int) -> int:
+        known = self.known[script]
+        if (h := known.get(term)) is None:
+            if len(known) > 500_000:
+                known.clear()
+            h = known[term] = xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass"), script) >> 1
+        return h
+
+    def sentences(self, text: str | None) -> list[tuple[int, list[int]]]:
+        """(script, terms) of each sentence: words of three letters or more, pairs of Chinese characters."""
+        out = []
+        for part in _SENTENCE.split(text or ""):
+            s = plain(part).lower()
+            if not _LETTER.search(s):
+                continue
+            terms, script = [], 0
+            for t in _TERM.findall(s):
+                if "㐀" <= t[0] <= "鿿":
+                    script = 1
+                    terms += [t[i : i + 2] for i in range(len(t) - 1)] or [t]
+                elif len(t) > 2:
+                    terms.append(t)
+            out.append((script, [self._hash(t, script) for t in terms]))
+        return out
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """Terms of each sentence: words of three letters or more, pairs of Chinese characters."""
-    out = []
-    for part in _SENTENCE.split(text or ""):
-        s = plain(part).lower()
-        if not _LETTER.search(s):
-            continue
-        terms = []
-        for t in _TERM.findall(s):
-            if "㐀" <= t[0] <= "鿿":
-                terms += [t[i : i + 2] for i in range(len(t) - 1)] or [t]
-            elif len(t) > 2:
-                terms.append(t)
-        out.append(terms)
-    return out
+TOKENS = "doc_id long, terms array<long>, ends array<int>, scripts array<int>"
 
 
-def script(sents: list[list[str]]) -> int:
-    """1 where most sentences hold Chinese characters, else 0."""
-    return int(2 * sum(any("㐀" <= t[0] <= "鿿" for t in s) for s in sents) > len(sents))
+def _tokens(docs: DataFrame) -> DataFrame:
+    """(doc_id, terms, ends, scripts): the terms of all sentences, where each sentence ends among them, its script."""
 
+    def run(batches):
+        tokeniser = Tokeniser()
+        for b in batches:
+            out = []
+            for d, t in zip(b["doc_id"], b["text"]):
+                sents = tokeniser.sentences(t)
+                terms = [h for _, ts in sents for h in ts]
+                out.append((d, terms, np.cumsum([len(ts) for _, ts in sents], dtype="int32"), [s for s, _ in sents]))
+            yield pd.DataFrame(out, columns=["doc_id", "terms", "ends", "scripts"])
 
-def with_phrases(terms: list[str], phrases: set[tuple[str, str]]) -> list[str]:
-    out, i = [], 0
-    while i < len(terms):
-        if i + 1 < len(terms) and (terms[i], terms[i + 1]) in phrases:
-            out.append(f"{terms[i]}_{terms[i + 1]}")
-            i += 2
-        else:
-            out.append(terms[i])
-            i += 1
-    return out
+    return docs.mapInPandas(run, TOKENS)
+
+
+def _list(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a column of lists."""
+    column = batch.column(batch.schema.get_field_index(name))
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), (offsets - offsets[0]).astype("int64")
+
+
+class Sentences:
+    """The terms of a batch of documents: `terms` in order, of each its sentence and document, of each sentence its
+    document and script, and `n` of each document."""
+
+    def __init__(self, batch: pa.RecordBatch, terms: str):
+        self.terms, at = _list(batch, terms)
+        ends, sents = _list(batch, "ends")
+        self.script = _list(batch, "scripts")[0]
+        self.n = np.diff(sents)
+        self.doc = np.repeat(np.arange(len(self.n)), self.n)
+        ends = ends + at[self.doc]
+        self.size = np.diff(ends, prepend=0)
+        self.sent = np.repeat(np.arange(len(ends)), self.size)
+
+    def merged(self, phrases: np.ndarray) -> None:
+        """Put a phrase's hash in place of its two words, from left to right."""
+        if not len(phrases) or len(self.terms) < 2:
+            return
+        both = pair_hash(self.terms[:-1], self.terms[1:])
+        starts = (self.sent[:-1] == self.sent[1:]) & _among(both, phrases)
+        at = np.arange(len(starts))
+        run = np.maximum.accumulate(np.where(starts & ~np.r_[False, starts[:-1]], at, -1))
+        taken = starts & ((at - run) % 2 == 0)
+        terms = self.terms.copy()
+        terms[:-1][taken] = both[taken]
+        stay = ~np.r_[False, taken]
+        self.terms, self.sent = terms[stay], self.sent[stay]
+        self.size = np.bincount(self.sent, minlength=len(self.size))
 
 
-def _counted(docs: DataFrame, emit, least: float, scratch: Scratch) -> tuple[list[Row], Row]:
-    """(key, script, n) with n at or above `least` of the documents of any script; and per script their number.
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a.view(np.uint64) * _STEP ^ (a.view(np.uint64) >> np.uint64(31))) * _MIX + b.view(np.uint64) * _STEP
+    return ((x ^ x >> np.uint64(29)) * _MIX >> np.uint64(1)).view(np.int64)
 
-    emit(sentences, script) yields the keys to count for a document; counts leave a task in parts of bounded size.
+
+def _among(values: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(sorted_keys, values), len(sorted_keys) - 1)
+    return sorted_keys[at] == values if len(sorted_keys) else np.zeros(len(values), bool)
+
+
+def _arrow(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+
+def _counted(tokens: DataFrame, emit, columns: str, floor: dict[int, float]) -> list:
+    """Sums of n by key columns and script, of those at or above the floor of their script.
+
+    emit(sentences) gives (key columns, script, n) of a batch; the counts are merged within a batch and before the shuffle.
     """
 
     def run(batches):
-        total: Counter = Counter()
         for b in batches:
-            for t in b["text"]:
-                sents = sentences(t)
-                s = script(sents)
-                total["", s] += 1
-                total.update((k, s) for k in emit(sents, s))
-            if len(total) > 400_000:
-                yield pd.DataFrame([(k, s, n) for (k, s), n in total.items()], columns=["key", "script", "n"])
-                total.clear()
-        yield pd.DataFrame([(k, s, n) for (k, s), n in total.items()], columns=["key", "script", "n"])
-
-    sums = scratch.keep(docs.mapInPandas(run, "key string, script int, n long").groupBy("key", "script").agg(F.sum("n").alias("n")))
-    sizes = {r.script: r.n for r in sums.where("key = ''").collect()}
-    floor = F.when(F.col("script") == 1, max(3.0, least * sizes.get(1, 0))).otherwise(max(3.0, least * sizes.get(0, 0)))
-    rows = sums.where((F.col("key") != "") & (F.col("n") >= floor)).collect()
-    scratch.drop(sums)
-    return rows, sizes
+            yield _arrow(emit(Sentences(b, "terms")))
+
+    keys = [c.split()[0] for c in columns.split(", ")]
+    sums = tokens.mapInArrow(run, f"{columns}, script int, n long").groupBy(*keys, "script").agg(F.sum("n").alias("n"))
+    return sums.where(F.col("n") >= F.when(F.col("script") == 1, floor[1]).otherwise(floor[0])).collect()
 
 
 class Vocabulary:
-    """Terms of both scripts with their idf; `first[s]` is where script s begins."""
+    """Terms of both scripts by the hash of each, with their idf; and the phrases."""
 
-    def __init__(self, rows: list[Row], sizes: dict[int, int], phrases: set[tuple[str, str]]):
-        kept = sorted((r.script, r.key, r.n) for r in rows if r.n <= max(2, COMMON * sizes[r.script]))
+    def __init__(self, rows: list, sizes: dict[int, int], phrases: np.ndarray):
+        kept = sorted((r.key, r.script, r.n) for r in rows if r.n <= max(2, COMMON * sizes[r.script]))
         self.phrases = phrases
-        self.index = {(s, k): i for i, (s, k, _) in enumerate(kept)}
-        self.script = np.array([s for s, *_ in kept], "int64")
-        self.idf = np.array([np.log((sizes[s] + 1) / (n + 1)) for s, _, n in kept])
+        self.keys = np.array([k for k, *_ in kept], "int64")
+        self.script = np.array([s for _, s, _ in kept], "int64")
+        self.idf = np.array([np.log((sizes[s] + 1) / (n + 1)) for _, s, n in kept])
 
     def __len__(self) -> int:
-        return len(self.idf)
-
-    def encode(self, sents: list[list[str]], s: int) -> list[list[int]]:
-        return [[i for t in dict.fromkeys(with_phrases(x, self.phrases)) if (i := self.index.get((s, t))) is not None] for x in sents]
-
-    def vector(self, sents) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of a document, of unit length."""
-        ids, tf = np.unique(np.concatenate([np.asarray(x, "int64") for x in sents]) if len(sents) else np.array([], "int64"), return_counts=True)
-        w = (1 + np.log(tf)) * self.idf[ids] if len(ids) else np.array([])
-        return ids, w / (np.linalg.norm(w) or 1.0) if len(ids) else w
-
-
-def learn_vocabulary(docs: DataFrame, scratch: Scratch, rare: float = RARE, phrase: float = PHRASE) -> Vocabulary:
-    words, sizes = _counted(docs, lambda sents, s: [t for x in sents for t in x] if not s else (), rare, scratch)
-    n = {r.key: r.n for r in words if not r.script}
-    often = set(n)
-    pairs, _ = _counted(
-        docs, lambda sents, s: [f"{a} {b}" for x in sents for a, b in zip(x, x[1:]) if a in often and b in often] if not s else (), rare, scratch
-    )
-    total, least = sum(n.values()), max(3.0, rare * sizes.get(0, 0))
-    phrases = set()
-    for r in pairs:
-        a, b = r.key.split(" ")
-        if (r.n - least / 2) * total / (n[a] * n[b]) > phrase:
-            phrases.add((a, b))
-    rows, sizes = _counted(docs, lambda sents, s: {t for x in sents for t in with_phrases(x, phrases)}, rare, scratch)
-    return Vocabulary(rows, sizes, phrases)
-
-
-def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, script, sents): the terms of each sentence as numbers."""
+        return len(self.keys)
+
+    def encode(self, x: Sentences) -> None:
+        """Keep the terms of the vocabulary, as numbers, each once per sentence."""
+        x.merged(self.phrases)
+        known = _among(x.terms, self.keys)
+        ids = np.searchsorted(self.keys, x.terms[known])
+        once = np.unique(x.sent[known] * len(self) + ids)
+        x.sent, x.terms = once // len(self), once % len(self)
+        x.size = np.bincount(x.sent, minlength=len(x.size))
+
+
+def learn_vocabulary(tokens: DataFrame, rare: float = RARE, phrase: float = PHRASE) -> Vocabulary:
+    def documents(x: Sentences) -> dict:
+        parts = np.unique(x.doc * 2 + x.script) % 2
+        return {"key": np.array([0, 0]), "script": np.array([0, 1], "int32"), "n": np.bincount(parts, minlength=2)}
+
+    def words(x: Sentences) -> dict:
+        key, n = np.unique(x.terms[x.script[x.sent] == 0], return_counts=True)
+        return {"key": key, "script": np.zeros(len(key), "int32"), "n": n}
+
+    sizes = {0: 0, 1: 0} | {r.script: r.n for r in _counted(tokens, documents, "key long", {0: 0, 1: 0})}
+    floor = {s: max(3.0, rare * n) for s, n in sizes.items()}
+    n = {r.key: r.n for r in _counted(tokens, words, "key long", floor)}
+    often = np.array(sorted(n), "int64")
+
+    def pairs(x: Sentences) -> dict:
+        ok = _among(x.terms, often)
+        ok = ok[:-1] & ok[1:] & (x.sent[:-1] == x.sent[1:])
+        a, b = x.terms[:-1][ok], x.terms[1:][ok]
+        _, first, n = np.unique(pair_hash(a, b), return_index=True, return_counts=True)
+        return {"a": a[first], "b": b[first], "script": np.zeros(len(first), "int32"), "n": n}
+
+    total, least = sum(n.values()), floor[0]
+    close = [(r.a, r.b) for r in _counted(tokens, pairs, "a long, b long", floor) if (r.n - least / 2) * total / (n[r.a] * n[r.b]) > phrase]
+    a, b = (np.array(x, "int64") for x in (zip(*close) if close else ((), ())))
+    phrases = np.sort(pair_hash(a, b))
+
+    def terms(x: Sentences) -> dict:
+        x.merged(phrases)
+        script = x.script[x.sent]
+        # Each term once per document.
+        _, first = np.unique(x.terms.view(np.uint64) + x.doc[x.sent].astype(np.uint64) * _STEP, return_index=True)
+        key, at, n = np.unique(x.terms[first], return_index=True, return_counts=True)
+        return {"key": key, "script": script[first][at].astype("int32"), "n": n}
+
+    return Vocabulary(_counted(tokens, terms, "key long", floor), sizes, phrases)
+
+
+CODES = "doc_id long, ids array<int>, ends array<int>, scripts array<int>, vector array<int>, parts array<int>, weights array<float>"
+
+
+def encoded(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, ids, ends, scripts, vector, parts, weights): the terms of each sentence as numbers; and of the document's
+    part in each script the terms, the script of each, and their weights (1 + log tf) * idf, of unit length per part."""
+
+    def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(values))
 
     def run(batches):
         for b in batches:
-            out = []
-            for d, t in zip(b["doc_id"], b["text"]):
-                sents = sentences(t)
-                s = script(sents)
-                out.append((d, s, vocabulary.encode(sents, s)))
-            yield pd.DataFrame(out, columns=["doc_id", "script", "sents"])
+            x = Sentences(b, "terms")
+            vocabulary.encode(x)
+            v, docs = len(vocabulary), len(x.n)
+            doc = x.doc[x.sent]
+            at, tf = np.unique((doc * 2 + vocabulary.script[x.terms]) * v + x.terms, return_counts=True)
+            part, ids = at // v, at % v
+            w = (1 + np.log(tf)) * vocabulary.idf[ids]
+            norm = np.sqrt(np.bincount(part, w * w, minlength=2 * docs))
+            w /= np.where(norm > 0, norm, 1.0)[part]
+            in_doc = np.bincount(doc, minlength=docs)
+            ends = np.cumsum(x.size) - (np.cumsum(in_doc) - in_doc)[x.doc]
+            of = np.bincount(part // 2, minlength=docs)
+            columns = [b.column(0), lists(x.terms.astype("int32"), in_doc), lists(ends.astype("int32"), x.n), lists(x.script.astype("int32"), x.n)]
+            columns += [lists(ids.astype("int32"), of), lists((part % 2).astype("int32"), of), lists(w.astype("float32"), of)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in CODES.split(", ")])
+
+    return tokens.mapInArrow(run, CODES)
+
+
+class Parts:
+    """The document vectors of a batch: term, weight and part of every entry; a part is a document in a script."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.ids, offsets = _list(batch, "vector")
+        self.ids = self.ids.astype("int64")
+        self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        self.part = self.doc * 2 + _list(batch, "parts")[0]
+        self.w = _list(batch, "weights")[0].astype("float64")
+        self.starts = np.flatnonzero(np.r_[True, self.part[1:] != self.part[:-1]]) if len(self.part) else np.array([], "int64")
+
+    def project(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(part, its vector times y)."""
+        if not len(self.starts):
+            return self.starts, np.zeros((0, y.shape[1]))
+        return self.part[self.starts], np.add.reduceat(y[self.ids] * self.w[:, None], self.starts, axis=0)
+
+
+def _slices(batches, rows: int = ROWS):
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
+def _summed(df: DataFrame, add, shape: tuple[int, int]) -> np.ndarray:
+    """The sum over all batches of what `add` adds to a matrix of this shape, which is bounded by the vocabulary. Every
+    task sends the rows that are not zero."""
+    names = [f"y{i}" for i in range(shape[1])]
 
-    return docs.mapInPandas(run, "doc_id long, script int, sents array<array<int>>")
+    def run(batches):
+        total = np.zeros(shape)
+        for b in _slices(batches):
+            add(b, total)
+        at = np.flatnonzero(total.any(axis=1))
+        yield _arrow({"at": at, **dict(zip(names, total[at].T))})
+
+    rows = df.mapInArrow(run, "at long, " + ", ".join(f"{c} double" for c in names)).groupBy("at").agg(*(F.sum(c).alias(c) for c in names)).collect()
+    out = np.zeros(shape)
+    if rows:
+        out[[r[0] for r in rows]] = [r[1:] for r in rows]
+    return out
 
 
-def _table(df: DataFrame, key: str, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and sums of the columns by key, on the driver: a row per term or centroid."""
-    rows = df.groupBy(key).agg(*(F.sum(c).alias(c) for c in columns)).collect()
-    return np.array([r[0] for r in rows], "int64"), np.array([r[1:] for r in rows], "float64").reshape(len(rows), len(columns))
+def _spread(total: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """total[at] += values, with repeated places."""
+    for k in range(values.shape[1]):
+        total[:, k] += np.bincount(at, values[:, k], minlength=len(total))
 
 
-def singular_vectors(docs: DataFrame, vocabulary: Vocabulary, rank: int, passes: int = POWER_PASSES) -> np.ndarray:
+def singular_vectors(codes: DataFrame, vocabulary: Vocabulary, rank: int, passes: int = POWER_PASSES) -> np.ndarray:
     """(vocabulary x rank): per script the leading right singular vectors of its documents."""
-    columns = [f"y{i}" for i in range(rank)]
     y = np.random.default_rng(11).standard_normal((len(vocabulary), rank))
+    vectors = codes.select("vector", "parts", "weights")
 
     def orthonormal(y: np.ndarray) -> np.ndarray:
         out = np.zeros_like(y)
@@ -181,19 +320,13 @@ def singular_vectors(docs: DataFrame, vocabulary: Vocabulary, rank: int, passes:
     for _ in range(passes):
         y = orthonormal(y)
 
-        def run(batches, y=y):
-            total = np.zeros_like(y)
-            for b in batches:
-                for sents in b["sents"]:
-                    ids, w = vocabulary.vector(sents)
-                    if len(ids):
-                        total[ids] += w[:, None] * (w @ y[ids])
-            at = np.flatnonzero(total.any(axis=1))
-            yield pd.DataFrame(total[at], columns=columns).assign(term=at)[["term", *columns]]
-
-        ids, sums = _table(docs.mapInPandas(run, "term long, " + ", ".join(f"{c} double" for c in columns)), "term", columns)
-        y = np.zeros_like(y)
-        y[ids] = sums
+        def add(b, total, y=y):
+            p = Parts(b)
+            _, z = p.project(y)
+            sizes = np.diff(np.r_[p.starts, len(p.ids)])
+            _spread(total, p.ids, np.repeat(z, sizes, axis=0) * p.w[:, None])
+
+        y = _summed(vectors, add, y.shape)
     return orthonormal(y)
 
 
@@ -202,11 +335,21 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(n > 0, n, 1.0)
 
 
-def _best(gain: np.ndarray, sents) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sentence_sums(x: Sentences, table: np.ndarray) -> np.ndarray:
+    """Per sentence the sum of its terms' rows of a table."""
+    out = np.zeros((len(x.size), table.shape[1]))
+    some = x.size > 0
+    if some.any():
+        starts = (np.cumsum(x.size) - x.size)[some]
+        out[some] = np.add.reduceat(table[x.terms], starts, axis=0)
+    return out
+
+
+def _best(gain: np.ndarray, x: Sentences) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per sentence: its best subject, the evidence for it, and the subject's share of all evidence."""
-    scores = np.array([gain[np.asarray(x, "int64")].sum(axis=0) for x in sents]).reshape(len(sents), gain.shape[1])
+    scores = _sentence_sums(x, gain)
     best = scores.argmax(axis=1)
-    top = scores[np.arange(len(sents)), best]
+    top = scores[np.arange(len(scores)), best]
     total = scores.sum(axis=1)
     return best, top, top / np.where(total > 0, total, 1.0)
 
@@ -233,80 +376,68 @@ class Model:
             self.gain[at] = cosine * cosine.max(axis=1, keepdims=True) ** 3
 
 
-def _seeds(docs: DataFrame, labels: DataFrame, descriptions: dict[str, str], model: Model) -> None:
+def _seeds(codes: DataFrame, labels: DataFrame, descriptions: dict[str, str], model: Model) -> None:
     subjects, rank = model.subjects, model.vectors.shape[1]
-    columns = [f"y{i}" for i in range(rank)]
+    n = len(subjects)
     number = F.create_map(*(x for i, s in enumerate(subjects) for x in (F.lit(s), F.lit(i))))
     said = labels.where("doc_id IS NOT NULL").select("doc_id", number[F.col("subject")].alias("k")).where("k IS NOT NULL").distinct()
     # Labels may be few or many; the join is on doc_id, which is unique among documents.
-    labelled = docs.join(said, "doc_id").select("script", "sents", "k")
+    labelled = codes.join(said, "doc_id").select("vector", "parts", "weights", "k")
 
-    def run(batches):
-        total = np.zeros((2 * len(subjects), rank))
-        for b in batches:
-            for s, sents, k in zip(b["script"], b["sents"], b["k"]):
-                ids, w = model.vocabulary.vector(sents)
-                if len(ids):
-                    total[s * len(subjects) + k] += _unit(w @ model.weighted[ids])
-        yield pd.DataFrame(total, columns=columns).assign(at=np.arange(len(total)))[["at", *columns]]
-
-    ids, sums = _table(labelled.mapInPandas(run, "at long, " + ", ".join(f"{c} double" for c in columns)), "at", columns)
-    seeds = np.zeros((2 * len(subjects), rank))
-    if len(ids):
-        seeds[ids] = sums
-    for k, s in enumerate(subjects):
-        sents = sentences(descriptions.get(s))
-        which = script(sents)
-        ids, w = model.vocabulary.vector(model.vocabulary.encode([*sents, [s]], which))
-        if len(ids):
-            seeds[which * len(subjects) + k] += _unit(w @ model.weighted[ids])
-    model.centroids = _unit(seeds).reshape(2, len(subjects), rank)
+    def add(b, total):
+        part, z = Parts(b).project(model.weighted)
+        k = b.column(b.schema.get_field_index("k")).to_numpy(zero_copy_only=False)
+        _spread(total, part % 2 * n + k[part // 2], _unit(z))
 
-
-def _refine_centroids(docs: DataFrame, model: Model) -> None:
+    seeds = _summed(labelled, add, (2 * n, rank))
+    tokeniser = Tokeniser()
+    for k, s in enumerate(subjects):
+        sents = tokeniser.sentences(f"{descriptions.get(s) or ''}. {s}")
+        terms = np.array([h for _, ts in sents for h in ts], "int64")
+        ends = np.cumsum([len(ts) for _, ts in sents], dtype="int32")
+        b = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((terms, pa.list_(pa.int64())), (ends, pa.list_(pa.int32())), ([s for s, _ in sents], pa.list_(pa.int32())))], names=["terms", "ends", "scripts"])
+        x = Sentences(b, "terms")
+        model.vocabulary.encode(x)
+        for script in (0, 1):
+            ids, tf = np.unique(x.terms[model.vocabulary.script[x.terms] == script], return_counts=True)
+            if len(ids):
+                w = (1 + np.log(tf)) * model.vocabulary.idf[ids]
+                seeds[script * n + k] += _unit(w @ model.weighted[ids])
+    model.centroids = _unit(seeds).reshape(2, n, rank)
+
+
+def _refine_centroids(sents: DataFrame, model: Model) -> None:
     n, rank = len(model.subjects), model.vectors.shape[1]
-    columns = [f"y{i}" for i in range(rank)]
 
-    def run(batches):
-        total = np.zeros((2 * n, rank))
-        for b in batches:
-            for s, sents in zip(b["script"], b["sents"]):
-                if len(sents) == 0:
-                    continue
-                best, evidence, share = _best(model.gain, sents)
-                for i in np.flatnonzero((evidence > SEED_EVIDENCE) & (share > 0.6)):
-                    total[s * n + best[i]] += _unit(model.weighted[np.asarray(sents[i], "int64")].sum(axis=0))
-        yield pd.DataFrame(total, columns=columns).assign(at=np.arange(2 * n))[["at", *columns]]
-
-    ids, sums = _table(docs.mapInPandas(run, "at long, " + ", ".join(f"{c} double" for c in columns)), "at", columns)
+    def add(b, total):
+        x = Sentences(b, "ids")
+        best, evidence, share = _best(model.gain, x)
+        sure = (evidence > SEED_EVIDENCE) & (share > 0.6)
+        _spread(total, (x.script * n + best)[sure], _unit(_sentence_sums(x, model.weighted)[sure]))
+
+    sums = _summed(sents, add, (2 * n, rank))
     moved = model.centroids.reshape(2 * n, rank).copy()
-    for at, v in zip(ids, sums):
-        if v.any():
-            moved[at] = _unit(v)
+    some = sums.any(axis=1)
+    moved[some] = _unit(sums[some])
     model.centroids = moved.reshape(2, n, rank)
 
 
-def _measure_clarity(docs: DataFrame, model: Model, least: float) -> None:
+def _measure_clarity(codes: DataFrame, model: Model, least: float) -> None:
     n, size = len(model.subjects), len(model.vocabulary)
-    columns = [*(f"y{i}" for i in range(n)), "docs"]
 
-    def run(batches):
-        total = np.zeros((size + 2, n + 1))
-        for b in batches:
-            for s, sents in zip(b["script"], b["sents"]):
-                if len(sents) == 0:
-                    continue
-                best, evidence, share = _best(model.gain, sents)
-                mix = np.bincount(best[(evidence > least) & (share > 0.6)], minlength=n).astype(float)
-                some = mix.sum() > 0
-                row = np.append(mix / (mix.sum() or 1.0), 1.0)
-                total[np.unique(np.concatenate([np.asarray(x, "int64") for x in sents]))] += row
-                total[size + s] += row * some
-        yield pd.DataFrame(total, columns=columns).assign(term=np.arange(size + 2))[["term", *columns]]
-
-    ids, sums = _table(docs.mapInPandas(run, "term long, " + ", ".join(f"{c} double" for c in columns)), "term", columns)
-    table = np.zeros((size + 2, n + 1))
-    table[ids] = sums
+    def add(b, total):
+        x, p = Sentences(b, "ids"), Parts(b)
+        best, evidence, share = _best(model.gain, x)
+        sure = (evidence > least) & (share > 0.6)
+        of = (x.doc * 2 + x.script)[sure]
+        mix = np.bincount(of * n + best[sure], minlength=2 * len(x.n) * n).reshape(-1, n).astype("float64")
+        said = mix.sum(axis=1)
+        row = np.c_[mix / np.where(said > 0, said, 1.0)[:, None], np.ones(len(mix))]
+        _spread(total, p.ids, row[p.part])
+        some = np.flatnonzero(said > 0)
+        _spread(total, size + some % 2, row[some])
+
+    table = _summed(codes, add, (size + 2, n + 1))
     for s in (0, 1):
         if not table[size + s, n]:
             continue
@@ -331,39 +462,42 @@ def document_subjects(
     scratch = Scratch(spark)
     listed = {r.subject: r.description for r in subjects.where("subject IS NOT NULL").groupBy("subject").agg(F.min("description").alias("description")).collect()}
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    vocabulary = learn_vocabulary(docs, scratch)
     schema = "doc_id long, subject string"
-    if not listed or not len(vocabulary):
+    if not listed:
+        return spark.createDataFrame([], schema)
+    tokens = scratch.keep(_tokens(docs))
+    vocabulary = learn_vocabulary(tokens)
+    if not len(vocabulary):
         return spark.createDataFrame([], schema)
     names = sorted(listed)
-    codes = scratch.keep(encoded(docs, vocabulary))
+    codes = scratch.keep(encoded(tokens, vocabulary))
+    scratch.drop(tokens)
     model = Model(vocabulary, singular_vectors(codes, vocabulary, 2 * len(names)), names)
     _seeds(codes, labels, listed, model)
     model.point()
     for _ in range(CENTROID_ROUNDS):
-        _refine_centroids(codes, model)
+        _refine_centroids(codes.select("ids", "ends", "scripts"), model)
         model.point()
     for i in range(CLARITY_ROUNDS):
-        _measure_clarity(codes, model, 0.5 if i else SEED_EVIDENCE)
+        _measure_clarity(codes.drop("doc_id"), model, 0.5 if i else SEED_EVIDENCE)
     gain = model.gain
 
     def run(batches):
-        for b in batches:
-            out = []
-            for d, sents in zip(b["doc_id"], b["sents"]):
-                if len(sents) == 0:
-                    continue
-                best, evidence, part = _best(gain, sents)
-                hints = (evidence >= hint) & (part >= 0.5)
-                n = np.bincount(best[hints], minlength=len(names))
-                sure = np.bincount(best[(evidence >= clear) & (part >= 0.6)], minlength=len(names))
-                found = np.flatnonzero((n >= share * len(sents)) & (sure > 0))
-                if not len(found) and n.max() >= share * len(sents):
-                    found = [n.argmax()]
-                out += [(d, names[k]) for k in found]
-            yield pd.DataFrame(out, columns=["doc_id", "subject"])
-
-    return codes.select("doc_id", "sents").mapInPandas(run, schema)
+        for b in _slices(batches):
+            x = Sentences(b, "ids")
+            best, evidence, part = _best(gain, x)
+            k, docs = len(names), len(x.n)
+            counts = lambda on: np.bincount((x.doc * k + best)[on], minlength=docs * k).reshape(docs, k)
+            n = counts((evidence >= hint) & (part >= 0.5))
+            enough = (n >= share * x.n[:, None]) & (x.n[:, None] > 0)
+            found = enough & (counts((evidence >= clear) & (part >= 0.6)) > 0)
+            none = ~found.any(axis=1) & (n.max(axis=1) >= share * x.n) & (x.n > 0)
+            found[none, n.argmax(axis=1)[none]] = True
+            at, which = np.nonzero(found)
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array([names[i] for i in which], pa.string())], names=["doc_id", "subject"])
+
+    return codes.select("doc_id", "ids", "ends", "scripts").mapInArrow(run, schema)
 
 
 def composition(documents: DataFrame, found: DataFrame) -> DataFrame:
