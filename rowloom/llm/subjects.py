@@ -3,21 +3,25 @@
 Method: term weighting and truncated singular value decomposition, then cosine similarity to seed centroids that are
 refined iteratively.
 
-1. Terms are words, fixed phrases of two words (those that stand together far more often than chance) and, for
-   Chinese, pairs of characters; term and document counts are taken over all documents. Terms in less than
-   `rare` or more than `common` of the documents of a script are left out, so the vocabulary is at most the mean
-   number of terms of a document over `rare`, whatever the number of documents.
-2. Documents are weighted by (1 + log tf) * idf and unit length. The leading right singular vectors of the
-   document-term matrix come from block power iteration: each pass sums A'(A Y) over all documents by term, and only
-   the (vocabulary x rank) result reaches the driver. Scripts share no terms, so each has its own vectors.
+1. Every text is read and cut into sentences and terms once; what is kept are numbers, and every later pass is a few
+   array operations per thousand documents. Terms are words of three letters or more, fixed phrases of two words
+   (those that stand together far more often than chance) and, in sentences with Chinese characters, pairs of these; a
+   sentence's script is its own. Counts are taken over all documents. Terms in less than `rare` or more than `common` of
+   the documents with a script are left out, so the vocabulary is at most the mean number of terms of a document over
+   `rare`, whatever the number of documents.
+2. Documents (their parts in each script) are weighted by (1 + log tf) * idf and unit length. The leading right singular
+   vectors of the document-term matrix come from block power iteration: each pass sums A'(A Y) over all documents by
+   term, and only the (vocabulary x rank) result reaches the driver. Each script has its own vectors.
 3. Seed centroids are the mean embeddings of the documents that people labelled with a subject, and the words of its
    description. They are refined: every sentence goes to the centroid that its terms, weighted by how clearly
    their vectors point to one centroid against the mean of all, are most similar to, and centroids become the
    means of their sentences.
-4. In further rounds a term's clarity is measured on the documents: the share of one subject among the
-   documents that hold the term, beyond that subject's share of all. Words that merely look like a subject's
-   lose their weight in this way.
-5. A document is about the subjects of at least `share` of its sentences, if at least one of these is clear.
+4. Term weights are refined on the documents: a term's clarity is the share of one subject among the documents that hold
+   it, beyond that subject's share of all. Words that merely look like a subject's lose their weight in this way.
+5. Sentences are embedded as the sums of their terms' vectors, weighted by clarity; centroids are refined in that
+   embedding, and each sentence gets the subject whose centroid it is most similar to by cosine.
+6. A document is about the subjects of at least `share` of its sentences, if at least one of these is clear: the clarity
+   of its terms for that subject reaches `clear`.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from ..session import Scratch, ship
 from .plainform import plain
 
 RARE, COMMON, PHRASE = 0.001, 0.3, 30.0
-POWER_PASSES, CENTROID_ROUNDS, CLARITY_ROUNDS = 5, 3, 4
+POWER_PASSES, CENTROID_ROUNDS, CLARITY_ROUNDS, COSINE_ROUNDS = 5, 3, 4, 2
 SHARE, CLEAR, HINT, SEED_EVIDENCE = 0.1, 0.95, 0.4, 0.6
 _SENTENCE = re.compile(r"[.!?。！？]+|\n\s*\n")
 _HAN = "㐀-䶿一-鿿"
@@ -345,15 +349,6 @@ def _sentence_sums(x: Sentences, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best(gain: np.ndarray, x: Sentences) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per sentence: its best subject, the evidence for it, and the subject's share of all evidence."""
-    scores = _sentence_sums(x, gain)
-    best = scores.argmax(axis=1)
-    top = scores[np.arange(len(scores)), best]
-    total = scores.sum(axis=1)
-    return best, top, top / np.where(total > 0, total, 1.0)
-
-
 class Model:
     """Term vectors, centroids (script x subject) and the gain of each term for each subject."""
 
@@ -362,6 +357,29 @@ class Model:
         self.weighted = vectors * vocabulary.idf[:, None]
         self.centroids = np.zeros((2, len(subjects), vectors.shape[1]))
         self.gain = np.zeros((len(vocabulary), len(subjects)))
+        self.clear: np.ndarray | None = None
+
+    def weigh(self) -> None:
+        """From here on sentences are embedded by the clarity of their terms, and the cosine assigns them."""
+        self.clear = self.vectors * self.gain.max(axis=1, keepdims=True)
+
+    def embedded(self, x: Sentences) -> np.ndarray:
+        return _sentence_sums(x, self.weighted if self.clear is None else self.clear)
+
+    def assign(self, x: Sentences, first: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per sentence: its subject, the evidence for it in the gains of its terms, and the subject's share of all
+        evidence. Until terms are weighed by clarity (`first`: still) the subject is that of most evidence, then the one
+        whose centroid is most similar by cosine."""
+        scores = _sentence_sums(x, self.gain)
+        best = scores.argmax(axis=1)
+        if self.clear is not None and not first:
+            e = self.embedded(x)
+            for s in (0, 1):
+                at = np.flatnonzero(x.script == s)
+                best[at] = (e[at] @ self.centroids[s].T).argmax(axis=1)
+        top = scores[np.arange(len(scores)), best]
+        total = scores.sum(axis=1)
+        return best, top, top / np.where(total > 0, total, 1.0)
 
     def point(self) -> None:
         """Gains from the cosine between term vectors and centroids, both taken against the centroids' mean."""
@@ -406,14 +424,14 @@ def _seeds(codes: DataFrame, labels: DataFrame, descriptions: dict[str, str], mo
     model.centroids = _unit(seeds).reshape(2, n, rank)
 
 
-def _refine_centroids(sents: DataFrame, model: Model) -> None:
+def _refine_centroids(sents: DataFrame, model: Model, first: bool = False) -> None:
     n, rank = len(model.subjects), model.vectors.shape[1]
 
     def add(b, total):
         x = Sentences(b, "ids")
-        best, evidence, share = _best(model.gain, x)
+        best, evidence, share = model.assign(x, first)
         sure = (evidence > SEED_EVIDENCE) & (share > 0.6)
-        _spread(total, (x.script * n + best)[sure], _unit(_sentence_sums(x, model.weighted)[sure]))
+        _spread(total, (x.script * n + best)[sure], _unit(model.embedded(x)[sure]))
 
     sums = _summed(sents, add, (2 * n, rank))
     moved = model.centroids.reshape(2 * n, rank).copy()
@@ -427,7 +445,7 @@ def _measure_clarity(codes: DataFrame, model: Model, least: float) -> None:
 
     def add(b, total):
         x, p = Sentences(b, "ids"), Parts(b)
-        best, evidence, share = _best(model.gain, x)
+        best, evidence, share = model.assign(x)
         sure = (evidence > least) & (share > 0.6)
         of = (x.doc * 2 + x.script)[sure]
         mix = np.bincount(of * n + best[sure], minlength=2 * len(x.n) * n).reshape(-1, n).astype("float64")
@@ -480,12 +498,14 @@ def document_subjects(
         model.point()
     for i in range(CLARITY_ROUNDS):
         _measure_clarity(codes.drop("doc_id"), model, 0.5 if i else SEED_EVIDENCE)
-    gain = model.gain
+    model.weigh()
+    for i in range(COSINE_ROUNDS):
+        _refine_centroids(codes.select("ids", "ends", "scripts"), model, first=not i)
 
     def run(batches):
         for b in _slices(batches):
             x = Sentences(b, "ids")
-            best, evidence, part = _best(gain, x)
+            best, evidence, part = model.assign(x)
             k, docs = len(names), len(x.n)
             counts = lambda on: np.bincount((x.doc * k + best)[on], minlength=docs * k).reshape(docs, k)
             n = counts((evidence >= hint) & (part >= 0.5))
