@@ -314,9 +314,9 @@ def _looked_up(keyed: DataFrame, entries: list[tuple[str, str]], every: bool) ->
                 out += [(v, *e, c) for e, c in (mapper.candidates(parts) if every else dict.fromkeys(mapper.map(parts), None)).items()]
             yield pd.DataFrame(out, columns=["value", "label_kind", "label_name", "cost"]).astype({"cost": "float64"})
 
-    # Looking up takes far longer than the size of the values lets adaptive execution expect.
+    # Looking up takes far longer than the size of the values lets adaptive execution expect. Neighbours share words.
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.select("value").distinct().repartition(parts).mapInPandas(run, "value string, label_kind string, label_name string, cost double")
+    return keyed.select("value").distinct().repartitionByRange(parts, "value").mapInPandas(run, "value string, label_kind string, label_name string, cost double")
 
 
 def mapped_values(records: DataFrame, entries: list[tuple[str, str]]) -> DataFrame:
