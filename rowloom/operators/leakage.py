@@ -59,8 +59,13 @@ def held_out(rows: DataFrame, trained_ids: DataFrame, related: DataFrame) -> Dat
     return rows.join(trained_ids.select("id").union(related.select("id")).distinct(), "id", "left_anti")
 
 
+def excluded(rows: DataFrame, trained_ids: DataFrame, related: DataFrame) -> DataFrame:
+    """(reason, id): every excluded row with its reason; a row that was trained on is not listed as related."""
+    a = rows.join(trained_ids, "id", "left_semi").select(F.lit("trained").alias("reason"), "id")
+    b = rows.join(trained_ids, "id", "left_anti").join(related, "id", "left_semi").select(F.lit("related").alias("reason"), "id")
+    return a.union(b)
+
+
 def exclusions(rows: DataFrame, trained_ids: DataFrame, related: DataFrame) -> DataFrame:
-    """(reason, n, ids): excluded rows in code-point order; a row that was trained on is not listed as related."""
-    a = rows.join(trained_ids, "id", "left_semi").select("id", F.lit("trained").alias("reason"))
-    b = rows.join(trained_ids, "id", "left_anti").join(related, "id", "left_semi").select("id", F.lit("related").alias("reason"))
-    return a.union(b).groupBy("reason").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    """(reason, n, first_id, last_id): how many rows are excluded for each reason, and the ends of their order by code point."""
+    return excluded(rows, trained_ids, related).groupBy("reason").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))

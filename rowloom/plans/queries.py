@@ -302,10 +302,8 @@ def split_sizes(spark, folder):
     return splits.split_sizes(once(spark, folder, "split"))
 
 
-# The trained rows of these queries are, as in their SQL, the training rows of one source; their inputs are known by
-# digest. `training_relatives_by_text`, which has no SQL, takes the whole train split.
-_SOURCE = "ashfen_core.json"
-_TRAINED = f"""{_ONCE}, old AS (SELECT * FROM prow WHERE split = 'train' AND source = '{_SOURCE}'),
+# The trained rows of these queries are those of the train split; their inputs are known by digest.
+_TRAINED = f"""{_ONCE}, old AS (SELECT * FROM prow WHERE split = 'train'),
   tr AS (SELECT id FROM prow WHERE id IN (SELECT id FROM old) OR sha256(input_json) IN (SELECT sha256(input_json) FROM old)),
   hist AS (SELECT id FROM old UNION SELECT unnest(links) FROM old UNION SELECT unnest(group_members) FROM old),
   grp AS (SELECT DISTINCT group_key FROM prow WHERE id IN (SELECT id FROM tr) AND group_key IS NOT NULL),
@@ -316,9 +314,9 @@ _TRAINED = f"""{_ONCE}, old AS (SELECT * FROM prow WHERE split = 'train' AND sou
   rel AS (SELECT id FROM (SELECT id FROM r1 UNION SELECT id FROM prow WHERE group_key IN (SELECT group_key FROM g2)) WHERE id NOT IN (SELECT id FROM tr))"""
 
 
-def _trained(spark, folder, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _trained(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = once(spark, folder, "split", "source", "group_key", "links", "group_members", "input_json").withColumn("fingerprint", F.sha2("input_json", 256))
-    old = rows.where((F.col("split") == "train") & (F.lit(whole) | (F.col("source") == _SOURCE)))
+    old = rows.where("split = 'train'")
     return rows, old, leakage.trained(rows.select("id", "fingerprint"), old, old)
 
 
@@ -344,7 +342,7 @@ def training_relatives(spark, folder):
 
 @query()
 def training_relatives_by_text(spark, folder):
-    rows, old, seen = _trained(spark, folder, whole=True)
+    rows, old, seen = _trained(spark, folder)
     known = rows.join(texts(spark, folder), "id")
     return leakage.training_relatives(known, seen, leakage.scenario_ids(old), known.join(old.select("id"), "id", "left_semi").select("text"), NEAR)
 
@@ -363,6 +361,11 @@ def exclusions(spark, folder):
     return leakage.exclusions(*_related(spark, folder))
 
 
+@query(f"WITH {_TRAINED} SELECT id, 'trained' AS reason FROM tr UNION ALL SELECT id, 'related' FROM rel")
+def excluded_rows(spark, folder):
+    return leakage.excluded(*_related(spark, folder))
+
+
 # A decision that depends on the id alone stands in for a model: none, no roll, or the first option, made hard.
 _DECIDED = f"""{_ONCE}, dec AS (SELECT *, substr(md5(id), 1, 1) AS h FROM prow WHERE reference IS NOT NULL),
   sc AS (SELECT id, split, h, reference.roll_required AS rr, list_transform(list_filter(reference.options, lambda o: len(o) = 1), lambda o: o[1]) AS op,
