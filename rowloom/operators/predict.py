@@ -1,27 +1,32 @@
 """Batched prediction by an injected model, strict parsing of replies, and validation of queries.
 
-A predictor is a factory without arguments whose result has `reply(queries: list[dict]) -> list[str]`. It is made in
-the worker, when the first valid query of a task arrives, so tasks without one load nothing.
+A predictor is a factory without arguments whose result has `reply(queries: list[dict]) -> list[str]` and maybe
+`length_problem(query: dict) -> str | None`, why a query does not fit its context. It is made in the worker, when the
+first valid query of a task arrives, so tasks without one load nothing.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.strictjson import Refused, decode
 from ..session import ship
 from .labels import Catalog
+from .messages import game_request
 
 ACTIONS = ("player_action", "observed_event")
 STATE_DEPTH = 100
 CHECK = "struct<kind: string, name: string, difficulty: string>"
 DECISION = f"struct<roll_required: boolean, checks: array<{CHECK}>>"
 PREDICTION = f"id string, valid boolean, decision {DECISION}, errors array<string>, raw_output string"
+BAD_QUERY = "bad query: "
 
 
 def _text_problem(value) -> str | None:
@@ -32,43 +37,59 @@ def _text_problem(value) -> str | None:
     return None
 
 
+def _leaf_problem(value) -> str | None:
+    match value:
+        case None | bool():
+            return None
+        case str():
+            return _text_problem(value)
+        case float():
+            return None if math.isfinite(value) else "is no finite number"
+        case int():
+            digits = sys.get_int_max_str_digits()
+            return f"is an integer of more than {digits} digits" if digits and abs(value) >= 10**digits else None
+    return f"holds a {type(value).__name__}, which is not JSON"
+
+
 def data_problem(value, where: str = "value", limit: int = STATE_DEPTH) -> str | None:
-    """Why a Python value is not finite JSON data of bounded depth, naming the place; None if it is."""
-    todo: list[tuple] = [(value, where, ())]
-    while todo:
-        item, at, above = todo.pop()
-        if item is None or isinstance(item, bool):
+    """Why a Python value is not finite JSON data of bounded depth, naming the place; None if it is.
+
+    Objects and lists are entered one by one: `open_ones` is the path down to the place that is looked at.
+    """
+    if not isinstance(value, (dict, list)):
+        return f"{where} {bad}" if (bad := _leaf_problem(value)) else None
+    open_ones = [(value, where, _members(value, where))]
+    while open_ones:
+        *_, (_, _, members) = open_ones
+        member = next(members, None)
+        if member is None:
+            open_ones.pop()
             continue
-        if isinstance(item, str):
-            if bad := _text_problem(item):
+        key_problem, inner, at = member
+        if key_problem:
+            return key_problem
+        if not isinstance(inner, (dict, list)):
+            if bad := _leaf_problem(inner):
                 return f"{at} {bad}"
-        elif isinstance(item, float):
-            if not math.isfinite(item):
-                return f"{at} is no finite number"
-        elif isinstance(item, int):
-            try:
-                str(item)
-            except ValueError:
-                return f"{at} is an integer too long to write"
-        elif isinstance(item, (list, dict)):
-            if id(item) in above:
-                return f"{at} contains itself"
-            if len(above) >= limit:
-                return f"{at} is nested more than {limit} levels deep"
-            inner = (*above, id(item))
-            pairs = item.items() if isinstance(item, dict) else enumerate(item)
-            for k, v in reversed(list(pairs)):
-                if isinstance(item, dict):
-                    if not isinstance(k, str):
-                        return f"{at} has a key that is no string"
-                    if bad := _text_problem(k):
-                        return f"{at} has a key that {bad}"
-                todo.append((v, f"{at}.{k}" if isinstance(item, dict) else f"{at}[{k}]", inner))
+        elif any(inner is outer for outer, *_ in open_ones):
+            return f"{at} contains itself"
+        elif len(open_ones) >= limit:
+            return f"{at} is nested more than {limit} levels deep"
         else:
-            return f"{at} holds a {type(item).__name__}, which is not JSON"
+            open_ones.append((inner, at, _members(inner, at)))
     return None
 
 
+def _members(value: dict | list, at: str) -> Iterator[tuple[str | None, object, str]]:
+    """(what is wrong with the key, member, its place) of an object or a list."""
+    if isinstance(value, list):
+        yield from ((None, v, f"{at}[{i}]") for i, v in enumerate(value))
+        return
+    for k, v in value.items():
+        bad = "that is no string" if not isinstance(k, str) else _text_problem(k)
+        yield f"{at} has a key {bad if bad is None or bad.startswith('that') else 'that ' + bad}" if bad else None, v, f"{at}.{k}"
+
+
 def query_errors(query) -> list[str]:
     """Every reason why a query is not {scene, one action, runtime_state?}."""
     if not isinstance(query, dict):
@@ -133,27 +154,34 @@ def parse_reply(text: str | None, catalog: Catalog) -> tuple[dict | None, list[s
 
 
 def predictions(rows: DataFrame, predictor: Callable[[], object], catalog: Catalog, batch_size: int = 8) -> DataFrame:
-    """A prediction per row (id, input_json): invalid queries are answered without the model."""
+    """A prediction per row (id, input_json), with what the game is asked for (game_request, note): queries that are
+    invalid or too long are answered without generating."""
 
     def run(batches: Iterator[pd.DataFrame]):
         model = None
         for b in batches:
             read = [_query(t) for t in b["input_json"]]
-            valid = [i for i, (q, _) in enumerate(read) if q is not None]
+            refused = {i: errors for i, (q, errors) in enumerate(read) if q is None}
+            if model is None and len(refused) < len(read):
+                model = predictor()
+            if fits := getattr(model, "length_problem", None):
+                refused |= {i: [why] for i, (q, _) in enumerate(read) if q is not None and (why := fits(q))}
+            valid = [i for i in range(len(read)) if i not in refused]
             replies: dict[int, str] = {}
             for lo in range(0, len(valid), batch_size):
-                if model is None:
-                    model = predictor()
                 some = valid[lo : lo + batch_size]
                 replies.update(zip(some, model.reply([read[i][0] for i in some])))
             out = []
-            for i, (row_id, (_, errors)) in enumerate(zip(b["id"], read)):
-                decision, reasons = parse_reply(replies[i], catalog) if i in replies else (None, errors)
+            for i, row_id in enumerate(b["id"]):
+                decision, reasons = parse_reply(replies[i], catalog) if i in replies else (None, [BAD_QUERY + e for e in refused[i]])
                 out.append((row_id, decision is not None, decision, reasons, replies.get(i)))
             yield pd.DataFrame(out, columns=["id", "valid", "decision", "errors", "raw_output"])
 
     ship(rows.sparkSession)
-    return rows.select("id", "input_json").mapInPandas(run, PREDICTION)
+    said = rows.select("id", "input_json").mapInPandas(run, PREDICTION)
+    asked = game_request(F.col("decision"))
+    request = F.when(asked["skill"].isNotNull(), F.struct(asked["skill"].alias("skill"), asked["difficulty"].alias("difficulty")))
+    return said.withColumn("game_request", request).withColumn("note", asked["note"])
 
 
 class FixedReply:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import leakage, predict, scoring
 from ..operators.duplicates import fingerprint
 from ..operators.labels import Catalog
 from ..session import Scratch
+from ..sources.runs import history
 
 # What a metrics document says about itself.
 NOTES = {
@@ -33,15 +34,17 @@ def evaluate(
     threshold: float | None = None,
     include_trained: bool = False,
     batch_size: int = 8,
+    train_keys: DataFrame | None = None,
 ) -> tuple[DataFrame, dict]:
     """(records, metrics) of one split of rows (id, split, group_key, links, group_members, text, input_json, reference).
 
     Rows that were trained on, by id or by input, and their relatives are left out unless `include_trained`. Relatives are
-    sought among all rows, whatever split is scored.
+    sought among all rows, whatever split is scored. train_keys: fingerprints of trained inputs, by default those that the
+    rows of train_ids have now.
     """
     scratch = Scratch(rows.sparkSession)
     keyed = scratch.keep(rows.withColumn("fingerprint", fingerprint(F.col("input_json"))))
-    keys = keyed.join(train_ids.select("id").distinct(), "id", "left_semi")
+    keys = train_keys if train_keys is not None else keyed.join(train_ids.select("id").distinct(), "id", "left_semi")
     seen = scratch.keep(leakage.trained(keyed.select("id", "fingerprint"), train_ids, keys))
     related = scratch.keep(leakage.training_relatives(keyed, seen, historical if historical is not None else train_ids, train_texts, threshold))
     chosen = keyed.where(F.col("split") == split)
@@ -60,3 +63,18 @@ def evaluate(
         "excluded_trained_rows": excluded.get("trained", 0), "excluded_related_rows": excluded.get("related", 0), "fields": fields,
     }
     return records, metrics
+
+
+def evaluate_run(
+    spark: SparkSession, run: str, rows: DataFrame, split: str, predictor: Callable[[], object], catalog: Catalog, manifest: dict, config: dict, revision: dict
+) -> tuple[DataFrame, dict]:
+    """`evaluate` with the exclusions of a run: what its manifest recorded decides which rows it was trained on and which
+    are related to these, whatever has become of the training rows since. The metrics record the revision and the settings."""
+    then = history(spark, run)
+    records, metrics = evaluate(
+        rows, split, predictor, catalog, then["ids"], then["seen"], then["texts"], manifest["config"]["data"]["near_duplicate_threshold"] or None,
+        split == "train", config["inference"]["batch_size"], then["fingerprints"],
+    )
+    longest, trained = config["inference"]["max_new_tokens"], manifest["config"]["inference"]["max_new_tokens"]
+    settings = config["inference"] | {"trained_max_new_tokens": trained, "matches_training": longest == trained}
+    return records, metrics | {"data_revision": revision, "inference": settings}

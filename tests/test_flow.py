@@ -1,11 +1,16 @@
 """Annotation files to splits, evaluation and predictions, on files written here."""
 
+import hashlib
+import io
 import json
+import re
+import subprocess
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowloom.operators.labels import Catalog
-from rowloom.operators.predict import FixedReply
+from rowloom.operators.predict import FixedReply, predictions
 from rowloom.plans import config as cf
 from rowloom.plans import evaluate as ev
 from rowloom.plans import prepare as pr
@@ -230,7 +235,7 @@ def test_documents(tmp_path):
     path = str(tmp_path / "m.json")
     runs.write_document(path, {"a": float("nan"), "b": [1.0, float("inf")]})
     assert json.loads((tmp_path / "m.json").read_text()) == {"a": None, "b": [1.0, None], "not_finite": ["a", "b[1]"]}
-    with pytest.raises(ValueError, match="catalog_sha256 is missing"):
+    with pytest.raises(ValueError, match="adapter is missing"):
         runs.read_document(path, runs.MANIFEST)
     (tmp_path / "q.json").write_text('[{"scene": "s"}]')
     assert runs.read_queries(str(tmp_path / "q.json")) == ([{"scene": "s"}], True)
@@ -280,3 +285,181 @@ def test_damaged_split_files(spark, config):
     assert rows.count() == 1 and {r.line for r in problems.collect()} == {2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13}
     before, unreadable = prepared.previous_splits(spark, out)
     assert unreadable == {split: 1} and before.count() > 0
+
+
+@pytest.fixture
+def run(spark, config, tmp_path):
+    """A run that was trained on the prepared splits."""
+    from rowloom.__main__ import _prepared_rows
+    from rowloom.operators.duplicates import fingerprint
+
+    pr.prepare(spark, config)
+    prepared_dir = config["data"]["prepared_dir"]
+    rows = _prepared_rows(spark, prepared_dir, catalogs.labels_of(CATALOG)).withColumn("fingerprint", fingerprint(F.col("input_json")))
+    folder = tmp_path / "run"
+    (folder / "model").mkdir(parents=True)
+    (folder / "model" / "weights").write_text("w")
+    catalogs.write_catalog(CATALOG, str(folder / "catalog.json"))
+    provenance = runs.read_document(f"{prepared_dir}/{prepared.PROVENANCE}", runs.PROVENANCE)
+    document = {
+        "precision": "fp32", "adapter": None, "catalog_sha256": hashlib.sha256((folder / "catalog.json").read_bytes()).hexdigest(),
+        "model_files": runs.tree_digest(str(folder / "model"))[0], "global_steps": 1, "metrics": {}, "config": config,
+        "prompt": {"format_version": runs.PROMPT_FORMAT, "system_prompt": "p", "system_prompt_sha256": runs.text_sha256("p"), "language": "en"},
+        "base_model": {"name_or_path": "base", "revision": None, "resolved_commit": None, "local_sha256": None, "in_run": None, "trust_remote_code": False},
+        "examples": {"split_sha256": provenance["split_sha256"], "source_files": provenance["sources"]},
+    }
+    runs.write_manifest(str(folder), document, runs.training_lists(rows))
+    return folder
+
+
+def edit_manifest(run, **changes):
+    path = run / "run_manifest.json"
+    data = json.loads(path.read_text())
+    for at, value in changes.items():
+        place, *parts = data, *at.split("__")
+        for p in parts[:-1]:
+            place = place[p]
+        place[parts[-1]] = value
+    path.write_text(json.dumps(data))
+
+
+def test_manifest_round_trip(spark, run, config):
+    manifest = runs.read_manifest(str(run))
+    train = {r.id for r in prepared.read_split(spark, config["data"]["prepared_dir"], "train")[0].collect()}
+    assert train and set(manifest["examples"]["train_ids"]) == train == set(manifest["examples"]["train_links"])
+    assert manifest["examples"]["train_fingerprints"] == sorted(manifest["examples"]["train_fingerprints"])
+    then = runs.history(spark, str(run))
+    assert {r.id for r in then["ids"].collect()} == train <= {r.id for r in then["seen"].collect()}
+    assert then["fingerprints"].count() == then["texts"].count() == len(train)
+    assert runs.integrity_problems(str(run), manifest) == []
+
+
+@pytest.mark.parametrize(
+    "change, place",
+    [
+        ({"precision": "auto"}, "precision"), ({"adapter": "other"}, "adapter"), ({"global_steps": True}, "global_steps"), ({"base_model__revision": 3}, "base_model.revision"),
+        ({"examples__train_links": {"a": "b"}}, "examples.train_links"), ({"examples__source_files": [{"path": "x"}]}, r"examples.source_files\[0\].sha256"),
+        ({"model_files": {"a": 1}}, "model_files"), ({"config": {"seed": 1}}, "config lacks"), ({"config__data__val_fraction": 2}, "val_fraction"), ({"prompt": []}, "prompt is no object"),
+    ],
+)
+def test_damaged_manifests(change, place):
+    fields = {
+        "precision": "fp32", "adapter": "lora", "catalog_sha256": "", "model_files": {}, "global_steps": 1, "metrics": {}, "config": cf.merged({}),
+        "prompt": {"format_version": "1", "system_prompt": "p", "system_prompt_sha256": "", "language": "en"},
+        "base_model": {"name_or_path": "b", "revision": None, "resolved_commit": None, "local_sha256": None, "in_run": None, "trust_remote_code": False},
+        "examples": {"train_ids": [], "val_ids": [], "train_fingerprints": [], "train_texts": [], "train_scenario_ids": [], "split_sha256": {}, "train_links": {}, "source_files": []},
+    }
+    assert runs.document_problem(fields, runs.MANIFEST) is None
+    for at, value in change.items():
+        data, *parts = fields, *at.split("__")
+        for p in parts[:-1]:
+            data = data[p]
+        data[parts[-1]] = value
+    assert re.search(place, runs.document_problem(fields, runs.MANIFEST))
+
+
+def test_integrity(run):
+    manifest = runs.read_manifest(str(run))
+    told = lambda **more: " ".join(runs.integrity_problems(str(run), manifest | more))
+    assert "format" in told(prompt=manifest["prompt"] | {"format_version": "0"}) and "system prompt" in told(prompt=manifest["prompt"] | {"system_prompt": "q"})
+    assert "no digests" in told(model_files={}) and "hub" in told(adapter="lora", base_model=manifest["base_model"] | {"name_or_path": str(run)})
+    assert "is gone" in told(adapter="lora", base_model=manifest["base_model"] | {"local_sha256": "x", "in_run": "nowhere"})
+    (run / "model" / "weights").write_text("other")
+    (run / "catalog.json").write_text("{}")
+    assert "weights" in told() and "catalogue" in told()
+
+
+def test_evaluation_of_a_run(spark, run, config, tmp_path, capsys, monkeypatch):
+    from rowloom.__main__ import main
+
+    evaluate = lambda *more: main(["evaluate", "--run", str(run), *more])
+    assert evaluate("--split", "val") == 0
+    metrics = json.loads(capsys.readouterr().out)
+    assert metrics["data_revision"]["matches_training"] and metrics["inference"]["matches_training"] and (run / "eval" / "val" / "metrics.json").exists()
+    for inside in (run / "model", run / "model" / "deep"):
+        with pytest.raises(SystemExit, match="would replace"):
+            evaluate("--out", str(inside))
+    with pytest.raises(SystemExit, match="would replace"):
+        other = cf.merged(config) | {"data": config["data"] | {"catalog": str(tmp_path / "x" / "metrics.json")}}
+        (tmp_path / "x").mkdir()
+        (tmp_path / "x" / "metrics.json").write_text("{}")
+        runs.write_document(str(tmp_path / "other.json"), other)
+        evaluate("--config", str(tmp_path / "other.json"), "--out", str(tmp_path / "x"))
+    # A trained row that has got another id and another text is known by its input.
+    data = source()
+    trained = runs.read_manifest(str(run))["examples"]["train_ids"][0]
+    row = next(r for s in ("examples", "alternative_examples") for r in data[s] if r["id"] == trained)
+    row["id"], row["scene"]["zh"] = "renamed", "别的"
+    data["examples"] += [record(f"new{k}", f"fresh words {k} {'xyz'[k % 3] * (k + 2)}") for k in range(12)]
+    (tmp_path / "a.json").write_text(json.dumps(data), encoding="utf-8")
+    assert pr.prepare(spark, config)["errors"] == []
+    with pytest.raises(SystemExit, match="not the data that the run was trained on"):
+        evaluate("--split", "val")
+    splits = {r.id: s for s in prepared.SPLITS for r in prepared.read_split(spark, config["data"]["prepared_dir"], s)[0].collect()}
+    capsys.readouterr()
+    assert evaluate("--split", splits["renamed"], "--allow-data-change") == 0
+    metrics = json.loads(capsys.readouterr().out)
+    assert not metrics["data_revision"]["matches_training"] and [c["path"] for c in metrics["data_revision"]["changed_sources"]] == config["data"]["sources"]
+    said = spark.read.json(str(run / "eval" / splits["renamed"] / "predictions"))
+    assert (splits["renamed"] == "train") == ("renamed" in {r.id for r in said.collect()})
+    assert splits["renamed"] == "train" or metrics["excluded_trained_rows"] >= 1
+    edit_manifest(run, config__data__split_seed=5)
+    with pytest.raises(SystemExit, match="differ in"):
+        runs.write_document(str(tmp_path / "c.json"), config)
+        evaluate("--config", str(tmp_path / "c.json"))
+    edit_manifest(run, examples=3)
+    with pytest.raises(SystemExit, match="examples is no object"):
+        evaluate()
+
+
+def test_prediction_of_a_run(run, tmp_path, capsys, monkeypatch):
+    from rowloom.__main__ import main
+
+    queries = [{"scene": "s", "player_action": "a"}, {"scene": "s"}]
+    monkeypatch.setattr("sys.stdin", io.TextIOWrapper(io.BytesIO(json.dumps(queries).encode())))
+    assert main(["predict", "--run", str(run), "--input", "-"]) == 0
+    said = json.loads(capsys.readouterr().out)
+    assert [p["valid"] for p in said] == [True, False] and said[1]["errors"][0].startswith("bad query: ") and {"game_request", "note"} <= set(said[0])
+    (run / "model" / "weights").write_text("other")
+    (tmp_path / "bad.json").write_text(json.dumps(queries[1]))
+    assert main(["predict", "--run", str(run), "--input", str(tmp_path / "bad.json")]) == 0
+    (tmp_path / "q.json").write_text(json.dumps(queries))
+    with pytest.raises(SystemExit, match="weights"):
+        main(["predict", "--run", str(run), "--input", str(tmp_path / "q.json")])
+
+
+class Counting:
+    """Asks for a roll where the scene says so; queries of over 40 characters do not fit."""
+
+    def reply(self, queries):
+        kinds = {"skill": "Climbing", "attribute": "Might", "odd": "Nothing"}
+        return [json.dumps({"roll_required": q["scene"] in kinds, "checks": [{"kind": q["scene"], "name": kinds[q["scene"]], "difficulty": "hard"}] if q["scene"] in kinds else []}) for q in queries]
+
+    def length_problem(self, query):
+        return "too long" if len(json.dumps(query)) > 60 else None
+
+
+def test_requests_and_lengths(spark):
+    given = [("1", "skill"), ("2", "attribute"), ("3", "none"), ("4", "odd"), ("5", "x" * 80)]
+    rows = spark.createDataFrame([(i, json.dumps({"scene": s, "player_action": "a"})) for i, s in given], "id string, input_json string")
+    out = {r.id: r for r in predictions(rows, Counting, catalogs.labels_of(CATALOG)).collect()}
+    assert out["1"].game_request.asDict() == {"skill": "Climbing", "difficulty": "hard"} and out["1"].note is None
+    assert out["2"].game_request is None and out["2"].note and out["3"].game_request is None and out["3"].note is None
+    assert not out["4"].valid and out["5"].errors == ["bad query: too long"] and out["5"].raw_output is None
+
+
+def test_files_of_a_commit(tmp_path):
+    git = lambda *a: subprocess.run(["git", "-c", "user.name=n", "-c", "user.email=e", *a], cwd=tmp_path, check=True, capture_output=True)
+    assert catalogs.committed_files(str(tmp_path), ["a"]) is None
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a b").write_text("one\n")
+    git("init", "-q")
+    git("add", "-A")
+    git("commit", "-qm", "c")
+    commit, files = catalogs.committed_files(str(tmp_path / "sub"), ["a b"])
+    assert len(commit) == 40 and files == {"a b": b"one\n"}
+    with pytest.raises(ValueError, match="lacks"):
+        catalogs.committed_files(str(tmp_path), ["a b"])
+    (tmp_path / "sub" / "a b").write_text("two\n")
+    with pytest.raises(ValueError, match="uncommitted"):
+        catalogs.committed_files(str(tmp_path), ["sub/a b"])
