@@ -165,13 +165,13 @@ def _guarded(out: str, config: dict, run: str | None, manifest: dict | None) ->
         sys.exit(f"refusing to evaluate: {out} would replace {clashes}")
 
 
-def _revision(args, config: dict, manifest: dict) -> tuple[dict, dict]:
+def _revision(spark, args, config: dict, manifest: dict) -> tuple[dict, dict]:
     """(what changed since the run was trained, hashes of the split files); other data, or a change that is not allowed, is refused."""
     folder = config["data"]["prepared_dir"]
     provenance = _or_exit(lambda: runs.read_document(str(Path(folder, prepared.PROVENANCE)), runs.PROVENANCE))
     if why := runs.revision_problem(manifest, provenance):
         sys.exit(f"refusing to evaluate: {why}")
-    hashes = prepared.split_hashes(folder)
+    hashes = prepared.split_hashes(spark, folder)
     changes = runs.revision_changes(manifest, provenance, hashes)
     if not changes["matches_training"] and not args.allow_data_change:
         names = [c.get("path") or c["split"] for c in changes["changed_sources"] + changes["changed_splits"]]
@@ -186,7 +186,7 @@ def _evaluate(spark, args, config: dict, manifest: dict | None) -> int:
     _guarded(out, config, args.run, manifest)
     folder = config["data"]["prepared_dir"]
     if manifest:
-        changes, hashes = _revision(args, config, manifest)
+        changes, hashes = _revision(spark, args, config, manifest)
         catalog = _intact(args.run, manifest, runs.INTEGRITY[:3])
     else:
         catalog = _catalog(config)
@@ -194,7 +194,7 @@ def _evaluate(spark, args, config: dict, manifest: dict | None) -> int:
     if manifest:
         if why := runs.revision_problem(manifest, {"sources": [{"path": p} for p in manifest["config"]["data"]["sources"]], "split_config": {}}, {r.lang for r in rows.select("lang").distinct().collect()}):
             sys.exit(f"refusing to evaluate: {why}")
-        if prepared.split_hashes(folder) != hashes:
+        if prepared.split_hashes(spark, folder) != hashes:
             sys.exit("refusing to evaluate: a split file changed while it was read")
         _intact(args.run, manifest)
         records, metrics = ev.evaluate_run(spark, args.run, rows, args.split, _predictor(args.predictor), catalog, manifest, config, changes)

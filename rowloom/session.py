@@ -49,7 +49,7 @@ def _shared_folder(spark: SparkSession) -> str:
         own = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = own.get() if own.isDefined() else None
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rowloom-")
         spark.sparkContext.setCheckpointDir(folder)

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-import os
 import secrets
-import shutil
 import time
 from pathlib import Path
 
@@ -17,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.strictjson import Refused, decode
 from ..operators.labels import Catalog
 from ..operators.predict import parse_reply, query_errors
+from .files import Files
 
 SPLITS = ("train", "val", "test")
 TEXTS = ("id", "source", "section", "scope", "split", "group", "lang", "similarity_text")
@@ -37,31 +35,26 @@ def json_lines(rows: DataFrame) -> DataFrame:
 
 
 def write_splits(rows: DataFrame, folder: str) -> dict[str, str]:
-    """One file per split in source order; returns the SHA-256 of the bytes written. Files are promoted together at the end."""
-    out = Path(folder)
-    out.mkdir(parents=True, exist_ok=True)
-    staged = out / f".staged-{secrets.token_hex(4)}"
+    """One file per split in source order; returns the SHA-256 of the bytes written. Tasks write the parts in order into the
+    folder itself, which all of them share, a stream joins them, and the files are promoted together at the end."""
+    files = Files(rows.sparkSession, folder)
+    staged = f"{folder}/.staged-{secrets.token_hex(4)}"
     lines = json_lines(rows)
     hashes = {}
     for split in SPLITS:
         one = lines.where(F.col("split") == split).orderBy("source_no", "section_no", "pos").select("line")
-        one.write.text(str(staged / split), lineSep="\n")
-        digest = hashlib.sha256()
-        with (staged / f"{split}.jsonl").open("wb") as f:
-            for part in sorted((staged / split).glob("part-*")):
-                content = part.read_bytes()
-                f.write(content)
-                digest.update(content)
-        hashes[split] = digest.hexdigest()
+        one.write.text(f"{staged}/{split}", lineSep="\n")
+        hashes[split] = files.joined(f"{staged}/{split}", f"{staged}/{split}.jsonl")
     for split in SPLITS:
-        os.replace(staged / f"{split}.jsonl", out / f"{split}.jsonl")
-    shutil.rmtree(staged)
+        files.move(f"{staged}/{split}.jsonl", f"{folder}/{split}.jsonl")
+    files.delete(staged)
     return hashes
 
 
-def split_hashes(folder: str) -> dict[str, str | None]:
+def split_hashes(spark: SparkSession, folder: str) -> dict[str, str | None]:
     """SHA-256 of each split file as it is now; None for a missing one."""
-    return {s: hashlib.sha256(p.read_bytes()).hexdigest() if (p := Path(folder, f"{s}.jsonl")).exists() else None for s in SPLITS}
+    files = Files(spark, folder)
+    return {s: files.sha256(f"{folder}/{s}.jsonl") for s in SPLITS}
 
 
 def row_problem(row, split: str, catalog: Catalog | None = None) -> str | None:
@@ -110,46 +103,70 @@ def reference_problem(reference: dict, catalog: Catalog | None = None) -> str |
     return None
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, value) of the lines of a text file, from 1. The file is read in as many blocks as Spark cuts it into; a line's
+    number is its place in its block after the lines of the blocks before, of which the driver learns the counts alone."""
+    text = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_block_start").alias("block"))
+
+    def run(batches):
+        block, n = None, 0
+        for b in batches:
+            at = []
+            for own in b["block"]:
+                block, n = (block, n + 1) if own == block else (own, 1)
+                at.append(n)
+            yield pd.DataFrame({"block": b["block"], "n": at, "value": b["value"], "utf8": b["utf8"]})
+
+    # A value that is not UTF-8 cannot leave the JVM.
+    utf8 = F.is_valid_utf8("value")
+    read = text.select("block", F.when(utf8, F.col("value")).alias("value"), utf8.alias("utf8"))
+    each = read.mapInPandas(run, "block long, n long, value string, utf8 boolean")
+    before, offsets = 0, {}
+    for r in sorted(each.groupBy("block").agg(F.max("n").alias("n")).collect()):
+        offsets[r.block], before = before, before + r.n
+    if not offsets:
+        return each.select(F.col("n").alias("line"), "value", "utf8")
+    after = F.create_map(*(x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))))
+    return each.select((F.col("n") + after[F.col("block")]).alias("line"), "value", "utf8")
+
+
 def read_split(spark: SparkSession, folder: str, split: str, catalog: Catalog | None = None) -> tuple[DataFrame, DataFrame, str]:
     """(rows, problems, sha256) of one split file: rows (id, split, group_key, row_json) and problems (line, problem).
 
-    The file is one row of the scan, so lines have numbers and the digest is of the bytes that are read. A repeated id is a
-    problem of the later line.
+    A repeated id is a problem of the later line.
     """
-    path = Path(folder, f"{split}.jsonl")
-    if not path.exists():
+    path, files = f"{folder}/{split}.jsonl", Files(spark, folder)
+    if not files.exists(path):
         raise FileNotFoundError(f"{path}: prepare the splits first")
-    content = spark.read.format("binaryFile").load(str(path))
-    lines = content.select(F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("n", "line"), F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"))
 
     def run(batches):
         for b in batches:
             out = []
-            for n, line, utf8 in zip(b["n"], b["line"], b["utf8"]):
-                if not line.strip():
+            for n, line, utf8 in zip(b["line"], b["value"], b["utf8"]):
+                if utf8 and not line.strip():
                     continue
                 try:
                     row = decode(line) if utf8 else None
                     why = row_problem(row, split, catalog) if utf8 else "not UTF-8"
                 except Refused as e:
                     row, why = None, str(e)
-                out.append((n + 1, row["id"] if not why else None, row["group"] if not why else None, line, why))
+                out.append((n, row["id"] if not why else None, row["group"] if not why else None, line, why))
             yield pd.DataFrame(out, columns=["line", "id", "group_key", "row_json", "problem"])
 
-    every = lines.repartition("n").mapInPandas(run, "line int, id string, group_key string, row_json string, problem string")
+    every = numbered_lines(spark, path).mapInPandas(run, "line long, id string, group_key string, row_json string, problem string")
     first = every.where("problem IS NULL").groupBy("id").agg(F.min("line").alias("first"))
     marked = every.join(first, "id", "left").withColumn("problem", F.when(F.col("line") > F.col("first"), "duplicate id").otherwise(F.col("problem")))
     rows = marked.where("problem IS NULL").select("id", F.lit(split).alias("split"), "group_key", "row_json")
-    return rows, marked.where("problem IS NOT NULL").select("line", "problem"), content.select(F.sha2("content", 256)).first()[0]
+    return rows, marked.where("problem IS NOT NULL").select("line", "problem"), files.sha256(path)
 
 
 def previous_splits(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, int]]:
     """(id, split) of the files of an earlier run, and per file the number of lines that cannot be read, which are skipped."""
-    parts, unreadable = spark.createDataFrame([], "id string, split string"), {}
+    parts, unreadable, files = spark.createDataFrame([], "id string, split string"), {}, Files(spark, folder)
     for split in SPLITS:
-        path = Path(folder, f"{split}.jsonl")
-        if path.exists():
-            lines = spark.read.text(str(path)).where("trim(value) <> ''").select(F.get_json_object("value", "$.id").alias("id"))
+        path = f"{folder}/{split}.jsonl"
+        if files.exists(path):
+            lines = spark.read.text(path, lineSep="\n").where("trim(value) <> ''").select(F.get_json_object("value", "$.id").alias("id"))
             unreadable[split] = lines.where("id IS NULL").count()
             parts = parts.unionByName(lines.where("id IS NOT NULL").withColumn("split", F.lit(split)))
     return parts, {s: n for s, n in unreadable.items() if n}

@@ -76,7 +76,7 @@ def test_prepare_writes_splits_and_report(spark, config):
     assert {k: document["counts"][k] for k in ("trainable", "eval_only", "pending", "skipped", "unsupported")} == {"trainable": 4, "eval_only": 1, "pending": 1, "skipped": 1, "unsupported": 3}
     assert any("gone" in w for w in document["warnings"]) and any("another catalogue" in w for w in document["warnings"])
     out = config["data"]["prepared_dir"]
-    hashes = prepared.split_hashes(out)
+    hashes = prepared.split_hashes(spark, out)
     assert runs.read_document(f"{out}/{prepared.PROVENANCE}", runs.PROVENANCE)["split_sha256"] == hashes
     rows = {}
     for split in prepared.SPLITS:
@@ -94,7 +94,7 @@ def test_prepare_writes_splits_and_report(spark, config):
 
 def test_errors_keep_the_last_clean_splits(spark, config, tmp_path):
     pr.prepare(spark, config)
-    before = prepared.split_hashes(config["data"]["prepared_dir"])
+    before = prepared.split_hashes(spark, config["data"]["prepared_dir"])
     data = source()
     data["examples"] += [record("e1", "again"), record("e9", "alpha one two three"), record("bad", "b", checks=[check("Flying")])]
     data["odd_examples"] = []
@@ -103,7 +103,7 @@ def test_errors_keep_the_last_clean_splits(spark, config, tmp_path):
     document = pr.prepare(spark, config)
     told = " | ".join(e["message"] for e in document["errors"])
     assert all(x in told for x in ("duplicate id", "same input as e1", "unknown skill", "unknown section", "not found"))
-    assert prepared.split_hashes(config["data"]["prepared_dir"]) == before
+    assert prepared.split_hashes(spark, config["data"]["prepared_dir"]) == before
 
 
 def test_moved_rows_are_told(spark, config):
@@ -463,3 +463,19 @@ def test_files_of_a_commit(tmp_path):
     (tmp_path / "sub" / "a b").write_text("two\n")
     with pytest.raises(ValueError, match="uncommitted"):
         catalogs.committed_files(str(tmp_path), ["sub/a b"])
+
+
+def test_numbered_lines_of_many_blocks(spark, tmp_path):
+    lines = [f"line {k} " + "x" * (k % 50) for k in range(3000)]
+    lines[7], lines[9] = "", "  "
+    (tmp_path / "f").write_bytes("\n".join(lines).encode() + b"\n\xff\xfe\n")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        found = {r.line: (r.value, r.utf8) for r in prepared.numbered_lines(spark, str(tmp_path / "f")).collect()}
+        assert prepared.numbered_lines(spark, str(tmp_path / "f")).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert found == {k + 1: (line, True) for k, line in enumerate(lines)} | {3001: (None, False)}
+    (tmp_path / "empty").write_text("")
+    assert prepared.numbered_lines(spark, str(tmp_path / "empty")).count() == 0
