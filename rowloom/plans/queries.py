@@ -5,7 +5,9 @@ The tables deliver some rows twice; `once` keeps one of each id, as the copies d
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -483,12 +485,16 @@ def _bytes(texts_: list[str]) -> list[list[int]]:
     return [list(t.encode("utf-8", "replace")) for t in texts_]
 
 
-@query()
+@query(
+    f"""WITH {_ONCE}, t AS (SELECT id, strlen(coalesce(similarity_text, ''))::BIGINT AS masked, strlen({_TARGET})::BIGINT AS k FROM prow WHERE target_decision IS NOT NULL)
+  SELECT id, masked + k AS n, masked, masked + k <= 1024 AS fits FROM t"""
+)
 def encoded_rows(spark, folder):
     rows = once(spark, folder, "similarity_text", "target_decision").where("target_decision IS NOT NULL")
     made = rows.select("id", F.coalesce("similarity_text", F.lit("")).alias("prompt"), messages.target_text(F.col("target_decision")).alias("target"))
     out = messages.encoded(made, _bytes, 1024)
-    return out.select("id", F.size("ids").alias("n"), F.size(F.filter("labels", lambda x: x == messages.IGNORED)).alias("masked"), "fits")
+    masked = F.size(F.filter("labels", lambda x: x == messages.IGNORED))
+    return out.select("id", F.size("ids").cast("long").alias("n"), masked.cast("long").alias("masked"), "fits")
 
 
 @query("SELECT 'events' AS origin, json_valid(props) AS strict, count(*) AS n FROM events GROUP BY ALL UNION ALL SELECT 'inputs', json_valid(input_json), count(*) FROM prepared_rows GROUP BY ALL")
@@ -505,15 +511,70 @@ def key_sets(spark, folder):
     return table(spark, folder, "prepared_rows").groupBy(keys.alias("keys")).agg(F.count("*").alias("n"))
 
 
-@query()
+# Every input, or by its id one with something wrong.
+_WRONG = {
+    "0": ("$.scene", None, "scene must be a text that is not blank"),
+    "1": ("$.scene", "   ", "scene must be a text that is not blank"),
+    "2": ("$.other", "x", "unknown fields ['other']"),
+    "3": (None, None, "exactly one of player_action and observed_event is needed"),
+}
+_WRONG_SQL = f"""{_ONCE}, wrong AS (SELECT id, input_json->>'$.scene' AS scene, substr(md5(id), 1, 1) AS h, CASE substr(md5(id), 1, 1)
+  {" ".join(f"WHEN '{h}' THEN '{why.replace("'", "''")}'" for h, (*_, why) in _WRONG.items())} ELSE '' END AS errors FROM prow)"""
+
+
+def _wronged(spark, folder) -> DataFrame:
+    fields = "map<string, string>"
+    rows = once(spark, folder, "input_json").withColumn("m", F.from_json("input_json", fields)).withColumn("h", F.substring(F.md5("id"), 1, 1))
+    plain = F.map_filter("m", lambda k, _: k != "runtime_state")
+    made = (
+        F.when(F.col("h") == "0", F.map_filter(plain, lambda k, _: k != "scene"))
+        .when(F.col("h") == "1", F.transform_values(plain, lambda k, v: F.when(k == "scene", F.lit("   ")).otherwise(v)))
+        .when(F.col("h") == "2", F.map_concat(plain, F.create_map(F.lit("other"), F.lit("x"))))
+        .when(F.col("h") == "3", F.map_filter(plain, lambda k, _: k == "scene"))
+    )
+    return rows.select("id", F.coalesce(F.to_json(made), "input_json").alias("input_json"))
+
+
+@query(f"WITH {_WRONG_SQL} SELECT id, errors FROM wrong")
 def query_problems(spark, folder):
-    return predict.checked_queries(once(spark, folder, "input_json")).select("id", F.array_join("errors", "; ").alias("errors"))
+    return predict.checked_queries(_wronged(spark, folder)).select("id", F.array_join("errors", "; ").alias("errors"))
 
 
-@query()
+class _Varied:
+    """A model whose reply depends on the scene's digest: a decision, or one of the ways to fail it."""
+
+    REPLIES = {
+        "0": ('{"roll_required": false, "checks": []}', ""),
+        "1": ('{"roll_required": true, "checks": [{"kind": "attribute", "name": "%s", "difficulty": "hard"}]}', ""),
+        "2": ('{"roll_required": "no", "checks": []}', "roll_required must be true or false"),
+        "3": ('{"roll_required": false, "checks": {}}', "checks must be a list"),
+        "4": ('{"roll_required": true, "checks": []}', "0 checks with roll_required true"),
+        "5": ('{"roll_required": true, "checks": [{"kind": "attribute", "name": "%s"}]}', "a check has exactly kind, name and difficulty"),
+        "6": ('{"roll_required": false, "checks": [], "note": 1}', "an object with exactly roll_required and checks is needed"),
+        "7": ('[]', "an object with exactly roll_required and checks is needed"),
+        "8": ('{"roll_required": false, "roll_required": false, "checks": []}', "repeated key 'roll_required'"),
+        "9": ('{"roll_required": false, "checks": [NaN]}', "NaN is no JSON"),
+    }
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def reply(self, queries: list[dict]) -> list[str]:
+        which = (hashlib.md5(q["scene"].encode()).hexdigest()[0] for q in queries)
+        return [self.REPLIES.get(h, self.REPLIES["0"])[0].replace("%s", self.name) for h in which]
+
+
+@query(
+    f"""WITH {_WRONG_SQL}, r AS (SELECT id, errors AS bad, substr(md5(scene), 1, 1) AS d FROM wrong),
+  e AS (SELECT id, d, bad, CASE WHEN bad <> '' THEN 'bad query: ' || bad ELSE CASE d
+  {" ".join(f"WHEN '{d}' THEN '{why.replace("'", "''")}'" for d, (_, why) in _Varied.REPLIES.items())} ELSE '' END END AS errors FROM r)
+  SELECT id, errors = '' AS valid, CASE WHEN errors = '' THEN d = '1' END AS roll_required, errors,
+  CASE WHEN errors = '' AND d = '1' THEN '{messages.ATTRIBUTE_NOTE}' END AS note FROM e"""
+)
 def stub_predictions(spark, folder):
-    made = predict.predictions(once(spark, folder, "input_json"), predict.FixedReply, catalog(spark, folder))
-    return made.select("id", "valid", F.col("decision.roll_required").alias("roll_required"), F.array_join("errors", "; ").alias("errors"))
+    known = catalog(spark, folder)
+    made = predict.predictions(_wronged(spark, folder), partial(_Varied, known.attributes[0]), known)
+    return made.select("id", "valid", F.col("decision.roll_required").alias("roll_required"), F.array_join("errors", "; ").alias("errors"), "note")
 
 
 _ROW_SQL = {
@@ -559,15 +620,24 @@ def row_problems(spark, folder):
 _CUT = "2025-03-01 00:00:00+00:00"
 
 
+_CONTENT = ("id", "section", "scenario_scope", "annotator", "raw_response", "roll_required", "roll_optional", "check_mode", "related_example_id", "skip_reason_raw")
+_CONTENT_SQL = "concat_ws(chr(31), " + ", ".join(f"coalesce({c}::VARCHAR, chr(30))" for c in _CONTENT) + """, coalesce(array_to_string(list_transform(checks,
+  lambda c: concat_ws(chr(29), coalesce(c.kind, chr(30)), coalesce(c.name, chr(30)), coalesce(c.difficulty, chr(30)), coalesce(c.roll_system, chr(30)))), chr(28)), chr(30)))"""
+
+
 def _revisions(spark, folder) -> tuple[DataFrame, DataFrame]:
-    given = table(spark, folder, "annotations").where("source IS NOT NULL")
+    """Digests of the whole content of every source, as it was delivered before a day and as it is."""
+    text_of = lambda c: F.coalesce(c.cast("string"), F.lit(chr(30)))
+    check = lambda c: F.concat_ws(chr(29), *(text_of(c[k]) for k in ("kind", "name", "difficulty", "roll_system")))
+    checks = F.coalesce(F.array_join(F.transform("checks", check), chr(28)), F.lit(chr(30)))
+    content = F.concat_ws(chr(31), *(text_of(F.col(c)) for c in _CONTENT), checks)
+    given = table(spark, folder, "annotations").where("source IS NOT NULL").withColumn("content", content)
     old = given.where(F.col("loaded_at") < F.lit(_CUT).cast("timestamp"))
-    return revision.digests(old, "source", "id"), revision.digests(given, "source", "id")
+    return revision.digests(old, "source", "content"), revision.digests(given, "source", "content")
 
 
-_REVISIONS = f"""o AS (SELECT source, sum(('0x' || substr(sha256(coalesce(id, '')), 1, 12))::BIGINT)::VARCHAR AS d FROM annotations
-  WHERE source IS NOT NULL AND loaded_at < TIMESTAMPTZ '{_CUT}' GROUP BY ALL),
-  n AS (SELECT source, sum(('0x' || substr(sha256(coalesce(id, '')), 1, 12))::BIGINT)::VARCHAR AS d FROM annotations WHERE source IS NOT NULL GROUP BY ALL)"""
+_DIGEST = f"sum(('0x' || substr(sha256({_CONTENT_SQL}), 1, 12))::BIGINT)::VARCHAR AS d FROM annotations WHERE source IS NOT NULL"
+_REVISIONS = f"""o AS (SELECT source, {_DIGEST} AND loaded_at < TIMESTAMPTZ '{_CUT}' GROUP BY ALL), n AS (SELECT source, {_DIGEST} GROUP BY ALL)"""
 
 
 @query(
@@ -585,7 +655,7 @@ def stale_sources(spark, folder):
 
 @query()
 def content_digests(spark, folder):
-    found = revision.file_digests(spark, f"{folder}/catalog_*.parquet", recursive=True)
+    found = revision.file_digests(spark, f"{folder}/*.parquet", recursive=True)
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "sha256")
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,7 @@ from ..functions.strictjson import Refused, decode
 from ..operators.labels import SECTIONS, Catalog, classified
 from ..operators.predict import query_errors
 from ..session import Scratch, ship
+from .files import Files
 
 VERSIONS = ("1.0",)
 LINK = "related_example_id"
@@ -219,8 +219,9 @@ def scan_annotations(spark: SparkSession, sources: list[str], lang: str = "en")
     """Files in the given order. A missing or unreadable file is a problem, not a failure."""
     ship(spark)
     scratch = Scratch(spark)
-    there = {str(Path(s).resolve()): (n, s) for n, s in enumerate(sources) if Path(s).is_file()}
-    missing = [(s, None, "source file not found") for s in sources if not Path(s).is_file()]
+    at = {s: files.qualified(s) for s in sources if (files := Files(spark, s)).is_file(s)}
+    there = {at[s]: (n, s) for n, s in enumerate(sources) if s in at}
+    missing = [(s, None, "source file not found") for s in sources if s not in at]
     absent = spark.createDataFrame(missing, PROBLEM)
     if not there:
         return Scan(spark.createDataFrame([], FILE), spark.createDataFrame([], RECORD), absent)
@@ -228,7 +229,7 @@ def scan_annotations(spark: SparkSession, sources: list[str], lang: str = "en")
     def run(batches):
         for b in batches:
             for path, content in zip(b["path"], b["content"]):
-                number, source = there[path.removeprefix("file:").replace("///", "/", 1)]
+                number, source = there[path]
                 out = [
                     (kind, v if kind == "file" else None, v if kind == "problem" else None, json.dumps([v.get(c) for c in _COLUMNS]) if kind == "record" else None)
                     for kind, v in read_file(source, number, bytes(content), lang)

@@ -22,6 +22,13 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self.path(path))
 
+    def is_file(self, path: str) -> bool:
+        return self.exists(path) and self._fs.getFileStatus(self.path(path)).isFile()
+
+    def qualified(self, path: str) -> str:
+        """The path as scans report it."""
+        return self.path(path).makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory()).toString()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self.path(path), True)
 
@@ -30,8 +37,7 @@ class Files:
         rename = self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
         options = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = rename.getField("OVERWRITE").get(None)
-        at = self.path(target).makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory())
-        of = self.path(source).makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory())
+        at, of = self.path(self.qualified(target)), self.path(self.qualified(source))
         self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), self._conf).rename(of, at, options)
 
     def _digest(self):
