@@ -78,6 +78,15 @@ class Scratch:
         self._paths[id(out)] = path
         return out
 
+    def folder(self) -> str:
+        """A new folder for files of another kind."""
+        self._n += 1
+        path = f"{self.root}/{self._n}"
+        jvm = self.spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+        return path
+
     def drop(self, df: DataFrame) -> None:
         if path := self._paths.pop(id(df), None):
             self._remove(path)
