@@ -5,6 +5,10 @@ from __future__ import annotations
 
 import copy
 import json
+import os
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.duplicates import fingerprint
 from ..session import Scratch
 from ..sources import annotations, catalogs, prepared, runs
-from . import config
+from . import config, prepare
 from .queries import _CLASSIFIED, _ONCE, _RECORD_COLUMNS, _RECORDS, _ROW_SQL, catalog, once, query, records, table
 
 PER_FILE = 500
@@ -282,3 +286,66 @@ def attribute_source(spark, folder):
     names = _catalog_document(spark, folder)["attributes"]
     text = f"import nothing_there\nOTHER = open\nATTRIBUTES: tuple[str, ...] = {tuple(names)!r}\n\n\ndef f():\n    ATTRIBUTES = ()\n"
     return spark.createDataFrame([(n,) for n in catalogs.named_constant(text, "ATTRIBUTES")], "attribute_name string")
+
+
+@query(f"WITH {_ONCE} SELECT id, input_json->>'$.scene' AS scene, true AS listed FROM prow")
+def queries_file(spark, folder):
+    """All inputs as one list of queries in a file, read as `predict` reads it."""
+    rows = once(spark, folder, "input_json").orderBy("id").collect()
+    at = written(spark, spark.createDataFrame([("[" + ", ".join(r.input_json for r in rows) + "]",)], "text string"), Scratch(spark))[0]
+    found, listed = runs.read_queries(at.removeprefix("file:"))
+    return spark.createDataFrame([(r.id, q["scene"], listed) for r, q in zip(rows, found, strict=True)], "id string, scene string, listed boolean")
+
+
+@query("SELECT arg_min(value, event_id) AS first_loss, arg_max(value, event_id) AS last_loss, count(*) AS n FROM events WHERE value IS NOT NULL")
+def training_losses(spark, folder):
+    """The events as a training log in JSON lines, with lines of another kind among them."""
+    at = Scratch(spark).folder() + "/log"
+    events = table(spark, folder, "events").select(F.col("event_id").alias("step"), F.col("value").alias("loss"))
+    events.unionByName(events.select("step", F.lit(None).cast("double").alias("loss"))).write.json(at)
+    log = runs.training_log(spark, at)
+    return runs.losses(log).crossJoin(log.agg(F.count("*").alias("n")))
+
+
+_COUNTED = f"""{_CLASSIFIED}, seen AS (SELECT CASE WHEN alt AND checks IS NULL THEN 'errors' ELSE split_part(o, ':', 1) END AS bucket FROM (SELECT n.checks, n.alt, cls.* FROM cls JOIN n USING (id)) WHERE {_KNOWN})"""
+
+
+@query(f"WITH {_COUNTED} SELECT bucket, count(*) AS n FROM seen WHERE bucket <> 'errors' GROUP BY bucket")
+def prepared_report(spark, folder):
+    """`prepare` over annotation files: the counts of the report that it writes."""
+    at = Scratch(spark)
+    out = at.folder().removeprefix("file:")
+    catalogs.write_catalog(_catalog_document(spark, folder), f"{out}/catalog.json")
+    data = {"sources": annotation_files(spark, folder, at), "catalog": f"{out}/catalog.json", "prepared_dir": f"{out}/prepared", "near_duplicate_threshold": None}
+    prepare.prepare(spark, config.merged({"data": data}))
+    with open(f"{out}/prepared/report.json", encoding="utf-8") as f:
+        report = json.load(f)
+    counts = {b: n for b, n in report["counts"].items() if b in ("trainable", "eval_only", "pending", "skipped", "unsupported") and n}
+    listed = {b: len(report[b]) for b in counts if b in report}
+    return spark.createDataFrame([(b, n if listed.get(b, n) == n else -1) for b, n in counts.items()], "bucket string, n long")
+
+
+#: Ways to name a file of an output or an input, and whether the guards see that it is one.
+_GUARDS = [
+    ("same path", True), ("other spelling", True), ("symbolic link", True), ("hard link", True), ("link to the folder", True), ("another file", False), ("a file in the folder", True), ("the folder", True), ("beside the folder", False), ("run folders differ", True),
+]
+
+
+@query(f"SELECT name, seen = 1 AS seen FROM ({_values([(n, int(s)) for n, s in _GUARDS])}) t(name, seen)")
+def output_guards(spark, folder):
+    at = Path(tempfile.mkdtemp(prefix="rowloom-guards-"))
+    try:
+        (at / "in").mkdir()
+        (at / "in" / "a").write_text("x")
+        (at / "soft").symlink_to(at / "in" / "a")
+        os.link(at / "in" / "a", at / "hard")
+        (at / "way").symlink_to(at / "in")
+        (at / "in2").write_text("x")
+        given = [str(at / "in" / "a")]
+        one = lambda p: bool(prepared.overwritten([str(p)], given))
+        within = lambda p: bool(prepared.inside([str(p)], [str(at / "in")]))
+        seen = [one(at / "in" / "a"), one(f"{at}/in/../in/./a"), one(at / "soft"), one(at / "hard"), one(at / "way" / "a"), one(at / "in2"), within(at / "way" / "new" / "b"), within(at / "in"), within(at / "in2")]
+        seen.append(prepared.run_folder(str(at), "run") != prepared.run_folder(str(at), "run"))
+    finally:
+        shutil.rmtree(at)
+    return spark.createDataFrame([(n, s) for (n, _), s in zip(_GUARDS, seen, strict=True)], "name string, seen boolean")

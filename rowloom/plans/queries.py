@@ -132,17 +132,39 @@ def repeated_names(spark, folder):
     return duplicates.repeated(names, "skill_name")
 
 
-@query()
+def _dumped(value: str, deep: int, ordered: bool) -> str:
+    """SQL for JSON with a blank after commas and colons, of objects in objects down to a depth, keys in order or as they are."""
+    if not deep:
+        return f"{value}::VARCHAR"
+    k = f"k{deep}"
+    at, keys = f"json_extract({value}, '$.\"' || {k} || '\"')", f"json_keys({value})"
+    inner = f"""'{{' || array_to_string(list_transform({f"list_sort({keys})" if ordered else keys}, lambda {k}: '"' || {k} || '": ' || {_dumped(at, deep - 1, ordered)}), ', ') || '}}'"""
+    return f"CASE json_type({value}) WHEN 'OBJECT' THEN {inner} ELSE {value}::VARCHAR END"
+
+
+_KEY = f"lower(trim(regexp_replace({_dumped('input_json::JSON', 3, True)}, '[\\s\\p{{Z}}\\x1c-\\x1f\\x{{85}}]+', ' ', 'g')))"
+
+
+@query(
+    f"""WITH keyed AS (SELECT DISTINCT id, {_KEY} AS k FROM prepared_rows WHERE id IS NOT NULL)
+  SELECT string_agg(id, ',' ORDER BY id) AS ids, count(*) AS n FROM keyed GROUP BY k HAVING count(*) > 1"""
+)
 def duplicate_inputs(spark, folder):
     found = duplicates.duplicate_inputs(table(spark, folder, "prepared_rows"))
     return found.select(F.array_join("ids", ",").alias("ids"), "n")
 
 
-@query()
+@query(f"WITH {_ONCE} SELECT id, sha256({_KEY}) AS fingerprint FROM prow")
 def fingerprints(spark, folder):
     return once(spark, folder, "input_json").select("id", duplicates.fingerprint(F.col("input_json")).alias("fingerprint"))
 
 
+@query(f"WITH {_ONCE} SELECT id, min(id) OVER (PARTITION BY {_KEY}) AS first_id, id = min(id) OVER (PARTITION BY {_KEY}) AS wins FROM prow")
+def first_inputs(spark, folder):
+    keyed = once(spark, folder, "input_json").withColumn("key", duplicates.fingerprint(F.col("input_json")))
+    return duplicates.first_wins(keyed, ["key"], ["id"]).select("id", "first_id", "wins")
+
+
 @query(
     """SELECT id, epoch_us(loaded_at) AS loaded, epoch_us(min(loaded_at) OVER (PARTITION BY id)) AS first_loaded,
   loaded_at = min(loaded_at) OVER (PARTITION BY id) AS wins FROM annotations WHERE id IS NOT NULL"""
@@ -417,7 +439,7 @@ def target_texts(spark, folder):
     return rows.select("id", messages.target_text(F.col("target_decision")).alias("target"))
 
 
-@query()
+@query(f"WITH {_ONCE} SELECT id, {_dumped('input_json::JSON', 3, False)} AS content FROM prow")
 def user_messages(spark, folder):
     return once(spark, folder, "input_json").select("id", messages.user_message(F.col("input_json")).alias("content"))
 
