@@ -109,6 +109,26 @@ def similar_pairs(spark, folder):
     return similarity.similar_pairs(texts(spark, folder), NEAR)
 
 
+#: The threshold that grouping uses by default.
+GROUPED = 0.38
+
+
+@query(
+    f"""WITH {_TEXTS}{_COUNTS}{_VECTORS}, s AS (SELECT a.id AS a, b.id AS b, sum(a.w * b.w) AS s FROM v a JOIN v b ON a.token = b.token AND a.id < b.id
+  GROUP BY ALL HAVING s >= {GROUPED}) SELECT a, b, round(least(s, 1.0), 3) AS similarity FROM s"""
+)
+def similar_pairs_038(spark, folder):
+    return similarity.similar_pairs(texts(spark, folder), GROUPED)
+
+
+@query(
+    f"""WITH {_TEXTS}{_COUNTS}{_VECTORS}, s AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.token = b.token AND a.id <> b.id GROUP BY ALL HAVING sum(a.w * b.w) >= {NEAR})
+  SELECT nrm.id, count(b) AS n_links FROM nrm LEFT JOIN s ON s.a = nrm.id GROUP BY ALL"""
+)
+def similar_members(spark, folder):
+    return similarity.similar_members(*similarity.similar_classes(texts(spark, folder), NEAR)).drop("class_id")
+
+
 @query(
     f"""WITH {_ONCE}, txt AS (SELECT id, CASE WHEN split = 'train' THEN 1 ELSE 2 END AS side, coalesce(nullif(similarity_text, ''),
   concat_ws(' ', input_json->>'$.scene', input_json->>'$.player_action', input_json->>'$.observed_event')) AS text FROM prow WHERE split IS NOT NULL)

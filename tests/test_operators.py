@@ -101,9 +101,15 @@ def test_similar_pairs_against_brute_force(spark, bar):
     df = spark.createDataFrame([(i, t, sides[i]) for i, t in texts.items()], "id string, text string, side int")
     for some in (None, sides):
         want = brute_pairs(texts, bar, some)
-        got = {(r.a, r.b): r.similarity for r in similarity.similar_pairs(df, bar, sides=some is not None).collect()}
-        assert set(got) == set(want)
-        assert all(abs(got[p] - min(want[p], 1.0)) <= 0.0006 for p in got)
+        for more in ({"met": 10**9}, {"met": -1, "block": 9}):
+            got = {(r.a, r.b): r.similarity for r in similarity.similar_pairs(df, bar, sides=some is not None, **more).collect()}
+            assert set(got) == set(want)
+            assert all(abs(got[p] - min(want[p], 1.0)) <= 0.0006 for p in got)
+    if bar == 0.4:
+        out = {r.id: r for r in similarity.similar_members(*similarity.similar_classes(df, bar)).collect()}
+        every = brute_pairs(texts, bar)
+        assert {i: r.n_links for i, r in out.items()} == {i: sum(i in p for p in every) for i in texts if queries_tokens(texts[i])}
+        assert out["x1"].class_id == out["x2"].class_id == out["03"].class_id == "03"
     with pytest.raises(ValueError):
         similarity.similar_pairs(df, 0)
     assert similarity.similar_pairs(df.limit(0), bar).count() == 0
