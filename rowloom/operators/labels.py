@@ -101,9 +101,11 @@ def classified(annotations: DataFrame, catalog: Catalog) -> DataFrame:
     """
     checks = F.col("checks")
     n = F.coalesce(F.size(checks), F.lit(0))
-    outcomes = F.transform(checks, catalog.label_outcome)
-    failed = F.filter(outcomes, lambda o: o["bucket"] == "errors")
-    unusable = F.filter(outcomes, lambda o: o["bucket"] == "unsupported")
+    # Columns of their own, so that the rules read what was evaluated once.
+    judged = annotations.withColumn("_outcomes", F.transform(checks, catalog.label_outcome))
+    of = lambda bucket: F.transform(F.filter("_outcomes", lambda o: o["bucket"] == bucket), lambda o: o["reason"])
+    judged = judged.withColumns({"_errors": of("errors"), "_unsupported": of("unsupported")})
+    failed, unusable = F.col("_errors"), F.col("_unsupported")
     section, required, mode = F.col("section"), F.col("roll_required"), F.col("check_mode")
     labelled, several = section == "examples", section == "alternative_examples"
     data = labelled | several
@@ -125,15 +127,15 @@ def classified(annotations: DataFrame, catalog: Catalog) -> DataFrame:
         .add("errors", "checks without a roll", labelled & ~required & (n > 0))
         .add("errors", "check_mode without a roll", labelled & ~required & mode.isNotNull())
         .add("errors", "check_mode and number of checks differ", labelled & required & ((mode == "single") & (n != 1) | (mode == "pair") & (n != 2)))
-        .add("errors", F.get(failed, F.lit(0))["reason"], data & (F.size(failed) > 0))
+        .add("errors", F.get(failed, F.lit(0)), data & (F.size(failed) > 0))
         .add("unsupported", "pair check", labelled & (n == 2))
         .add("errors", "number of checks", labelled & required & (n != 1))
         .add("errors", "fewer than two alternatives", several & (n < 2))
-        .add("unsupported", F.get(unusable, F.lit(0))["reason"], data & (F.size(unusable) > 0))
+        .add("unsupported", F.get(unusable, F.lit(0)), data & (F.size(unusable) > 0))
         .add("errors", "alternatives repeat a choice", several & (F.size(F.array_distinct(checks)) < n))
         .add("eval_only", F.concat(n.cast("string"), F.lit(" accepted alternatives")), several)
     )
-    return annotations.withColumn("o", rules.outcome("trainable")).select("id", "section", "o.bucket", "o.reason")
+    return judged.withColumn("o", rules.outcome("trainable")).select("id", "section", "o.bucket", "o.reason")
 
 
 def bucket_counts(outcomes: DataFrame) -> DataFrame:
