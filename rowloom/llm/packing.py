@@ -4,7 +4,9 @@ Method: bin completion. The largest document left opens a container; the filling
 fullest first, without those that another filling dominates (an item or a pair of it could be exchanged for a larger
 item that is left and still fits). The search goes depth first; a branch ends when the waste made so far exceeds
 what a packing with fewer containers than the incumbent can afford. The first incumbent is best-fit decreasing, and
-the search ends at the waste bound, at its first improvement to it, or after `nodes` containers tried.
+the search ends at the waste bound or after `NODES` containers tried beyond those of a packing. Of the fillings of a
+container at most `TRIES` are enumerated and the `BRANCHES` of least waste are branched on. The problem is NP-hard: these
+three limits cut the search, never a document; the README says how often each of them ends it.
 
 Documents are dealt by a hash of their id to shards of about `per_shard`, which are packed independently: no shard
 can be large, whatever source or kind prevails, and a shard leaves at most one container partly empty beyond its
@@ -123,12 +125,18 @@ class Left:
         return False
 
 
-def bin_completion(sizes: list[int], capacity: int, nodes: int = NODES, tries: int = TRIES) -> list[list[int]]:
-    """Containers as lists of sizes; every size is 1 to capacity."""
+def bin_completion(sizes: list[int], capacity: int, nodes: int = NODES, tries: int = TRIES, ended: list | None = None) -> list[list[int]]:
+    """Containers as lists of sizes; every size is 1 to capacity.
+
+    ended: takes how the search ended: `bound` at the least number that the total allows, `searched` with every kept
+    filling tried, `nodes` at their limit.
+    """
     best = best_fit(sizes, capacity)
     total = sum(sizes)
     bound = -(-total // capacity)
+    ended = [] if ended is None else ended
     if len(best) <= bound:
+        ended.append("bound")
         return best
     left, waste, frames = Left(sizes), 0, []
 
@@ -164,6 +172,7 @@ def bin_completion(sizes: list[int], capacity: int, nodes: int = NODES, tries: i
             best = [[f[0], *f[2][1]] for f in frames]
             if len(best) <= bound:
                 break
+    ended.append("bound" if len(best) <= bound else "nodes" if frames else "searched")
     return best
 
 
