@@ -98,6 +98,35 @@ def encoded(rows: DataFrame, encode: Callable[[list[str]], list[list[int]]], lon
     return rows.select("id", "prompt", "target").mapInPandas(run, "id string, ids array<int>, labels array<int>, fits boolean")
 
 
+def encoding_problems(
+    rows: DataFrame, encode: Callable[[list[str]], list[list[int]]], decode: Callable[[list[list[int]]], list[str]], longest: int, context: int | None = None
+) -> DataFrame:
+    """(id, n, masked, problem): tokens of the whole conversation and of its prompt, and why it cannot be trained on; '' if it can.
+
+    rows: id, prompt, whole, target, as the texts that a template renders. The prompt must be the beginning of the whole, as a
+    text and as tokens, so that masking leaves out exactly the prompt; the target must come back from the other tokens.
+    """
+
+    def run(batches):
+        for b in batches:
+            prompts, wholes, targets = (b[c].fillna("").tolist() for c in ("prompt", "whole", "target"))
+            heads, ids = encode(prompts), encode(wholes)
+            said = decode([i[len(h) :] for h, i in zip(heads, ids)])
+            told = []
+            for p, w, t, h, i, s in zip(prompts, wholes, targets, heads, ids, said):
+                rules = (
+                    (w.startswith(p), "the prompt is rendered differently with the answer"),
+                    (i[: len(h)] == h, "the prompt's tokens are no prefix"),
+                    (t in s, "the target cannot be recovered"),
+                    (len(i) <= longest, "too many tokens"),
+                    (context is None or len(i) <= context, "beyond the context"),
+                )
+                told.append(next((why for holds, why in rules if not holds), ""))
+            yield pd.DataFrame({"id": b["id"], "n": [len(i) for i in ids], "masked": [len(h) for h in heads], "problem": told})
+
+    return rows.select("id", "prompt", "whole", "target").mapInPandas(run, "id string, n long, masked long, problem string")
+
+
 def padded(batches: DataFrame, pad: int = 0) -> DataFrame:
     """Rows (batch, id, ids, labels) padded to the widest of their batch, with an attention mask."""
     width = batches.groupBy("batch").agg(F.max(F.size("ids")).alias("width"))

@@ -553,6 +553,27 @@ def key_sets(spark, folder):
     return table(spark, folder, "prepared_rows").groupBy(keys.alias("keys")).agg(F.count("*").alias("n"))
 
 
+# The first letter of an id's digest decides what a stand-in for a template or a tokenizer does to the conversation.
+_RENDERED = f"""{_ONCE}, t AS (SELECT id, substr(md5(id), 1, 1) AS h, coalesce(similarity_text, '') AS p, {_TARGET} AS t FROM prow WHERE target_decision IS NOT NULL),
+  w AS (SELECT id, h, p, t, CASE h WHEN '0' THEN 'x' || p || t WHEN '1' THEN p || 'none' ELSE p || t END AS w FROM t)"""
+
+
+def _letters(numbers: list[list[int]]) -> list[str]:
+    return [bytes(n).decode("utf-8", "replace") for n in numbers]
+
+
+@query(
+    f"""WITH {_RENDERED} SELECT id, strlen(w)::BIGINT AS n, strlen(p)::BIGINT AS masked, CASE WHEN h = '0' AND NOT starts_with(w, p) THEN 'the prompt is rendered differently with the answer'
+  WHEN h = '1' THEN 'the target cannot be recovered' WHEN strlen(w) > 512 THEN 'too many tokens' WHEN strlen(w) > 480 THEN 'beyond the context' ELSE '' END AS problem FROM w"""
+)
+def encoding_problems(spark, folder):
+    rows = once(spark, folder, "similarity_text", "target_decision").where("target_decision IS NOT NULL")
+    h, p, t = F.substring(F.md5("id"), 1, 1), F.coalesce("similarity_text", F.lit("")), messages.target_text(F.col("target_decision"))
+    whole = F.when(h == "0", F.concat(F.lit("x"), p, t)).when(h == "1", F.concat(p, F.lit("none"))).otherwise(F.concat(p, t))
+    made = rows.select("id", p.alias("prompt"), whole.alias("whole"), t.alias("target"))
+    return messages.encoding_problems(made, _bytes, _letters, 512, 480)
+
+
 # Every input, or by its id one with something wrong.
 _WRONG = {
     "0": ("$.scene", None, "scene must be a text that is not blank"),
