@@ -47,7 +47,7 @@ def _leaf_problem(value) -> str | None:
             return None if math.isfinite(value) else "is no finite number"
         case int():
             digits = sys.get_int_max_str_digits()
-            return f"is an integer of more than {digits} digits" if digits and abs(value) >= 10**digits else None
+            return f"is an integer too long to write, of more than {digits} digits" if digits and abs(value) >= 10**digits else None
     return f"holds a {type(value).__name__}, which is not JSON"
 
 
