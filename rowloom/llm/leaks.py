@@ -145,6 +145,24 @@ def covered(doc: list[str], item: list[str], item_grams: dict[tuple, list[int]],
     return best[top][0], best[top][1], runs[top][0] + runs[top][2]
 
 
+def at_most(item: list[str], grams_of: list[tuple], doc_grams: set[tuple], has: set[str]) -> int:
+    """No passage covers more words of an item: those in its seeds that the document holds, and between these, over gaps
+    that may be filled, those that stand anywhere in the document."""
+    held = [False] * len(item)
+    for i, g in enumerate(grams_of):
+        if g in doc_grams:
+            held[i : i + SEED_RUN] = [True] * SEED_RUN
+    total = filled = gap = 0
+    for word, h in zip(item, held):
+        if h:
+            total += 1 + (filled if total and gap <= FILL else 0)
+            filled = gap = 0
+        else:
+            gap += 1
+            filled += word in has
+    return total
+
+
 def passages(documents: DataFrame, items: DataFrame, share: float = SHARE, k: int = K, window: int = WINDOW, gap: int = GAP) -> DataFrame:
     """(doc_id, item_id, share, begin_word, end_word): for each document and item that share a fingerprint, the share of
     the item's words that its best passage in the document covers, if that is at least `share`, and where the passage
@@ -174,21 +192,25 @@ def passages(documents: DataFrame, items: DataFrame, share: float = SHARE, k: in
 
     def run(batches):
         @lru_cache(maxsize=4096)
-        def known(text: str) -> tuple[list[str], dict]:
+        def known(text: str) -> tuple[list[str], list[tuple], dict]:
             ws = words(text)
+            own = seeds_of(ws)
             seeds: dict[tuple, list[int]] = defaultdict(list)
-            for i in range(len(ws) - SEED_RUN + 1):
-                seeds[tuple(ws[i : i + SEED_RUN])].append(i)
-            return ws, seeds
+            for i, g in enumerate(own):
+                seeds[g].append(i)
+            return ws, own, seeds
+
+        def seeds_of(ws: list[str]) -> list[tuple]:
+            return list(zip(*(ws[i:] for i in range(SEED_RUN))))
 
-        last, ws, has = None, [], set()
+        last, ws, has, doc_grams = None, [], set(), None
         for b in batches:
             out = []
             for d, t, i, x in zip(b["doc_id"], b["text"], b["item_id"], b["item"]):
                 if t != last:
                     last, ws = t, words(t)
-                    has = set(ws)
-                item, seeds = known(x)
+                    has, doc_grams = set(ws), None
+                item, own, seeds = known(x)
                 # No passage covers more of an item than the words of it that stand anywhere in the document.
                 if sum(map(has.__contains__, item)) < share * len(item):
                     continue
@@ -196,6 +218,10 @@ def passages(documents: DataFrame, items: DataFrame, share: float = SHARE, k: in
                     at = next((p for p in range(len(ws) - len(item) + 1) if ws[p : p + len(item)] == item), None)
                     n, begin, end = (len(item), at, at + len(item)) if at is not None else (0, 0, 0)
                 else:
+                    if doc_grams is None:
+                        doc_grams = set(seeds_of(ws))
+                    if at_most(item, own, doc_grams, has) < share * len(item):
+                        continue
                     n, begin, end = covered(ws, item, seeds, gap)
                 if n >= share * len(item):
                     out.append((d, i, n / len(item), begin, end))

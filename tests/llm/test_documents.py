@@ -47,6 +47,21 @@ def test_winnowing_keeps_the_smallest_gram_of_every_window():
         assert got == want
 
 
+def test_no_passage_covers_more_than_the_bound():
+    rng = random.Random(5)
+    for _ in range(400):
+        item = [f"w{rng.randrange(12)}" for _ in range(rng.randrange(6, 30))]
+        doc = [f"w{rng.randrange(14)}" for _ in range(rng.randrange(3, 60))]
+        at = rng.randrange(len(doc))
+        doc[at:at] = item[rng.randrange(3) : rng.randrange(3, 30)]
+        own = list(zip(item, item[1:], item[2:]))
+        seeds = {}
+        for i, g in enumerate(own):
+            seeds.setdefault(g, []).append(i)
+        n = lk.covered(doc, item, seeds, lk.GAP)[0]
+        assert n <= lk.at_most(item, own, set(zip(doc, doc[1:], doc[2:])), set(doc)) <= len(item)
+
+
 def test_leaked_items(spark):
     item, around = passage(10, 60), [passage(k, 80) for k in range(20, 26)]
     changed = [w if i % 9 else "other" for i, w in enumerate(item)]
