@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.duplicates import fingerprint
 from ..session import Scratch
 from ..sources import annotations, catalogs, prepared, runs
+from ..sources.files import Files
 from . import config, prepare
 from .queries import _CLASSIFIED, _ONCE, _RECORD_COLUMNS, _RECORDS, _ROW_SQL, catalog, once, query, records, table
 
@@ -290,11 +291,23 @@ def attribute_source(spark, folder):
 
 @query(f"WITH {_ONCE} SELECT id, input_json->>'$.scene' AS scene, true AS listed FROM prow")
 def queries_file(spark, folder):
-    """All inputs as one list of queries in a file, read as `predict` reads it."""
-    rows = once(spark, folder, "input_json").orderBy("id").collect()
-    at = written(spark, spark.createDataFrame([("[" + ", ".join(r.input_json for r in rows) + "]",)], "text string"), Scratch(spark))[0]
-    found, listed = runs.read_queries(at.removeprefix("file:"))
-    return spark.createDataFrame([(r.id, q["scene"], listed) for r, q in zip(rows, found, strict=True)], "id string, scene string, listed boolean")
+    """All inputs as one list of queries in a file, read as `predict` reads it; the driver streams the file."""
+    scratch = Scratch(spark)
+    placed = scratch.keep(once(spark, folder, "input_json").orderBy("id").withColumn("place", F.monotonically_increasing_id()))
+    part, before, offsets = F.shiftright("place", 33), 0, {}
+    for r in sorted(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()):
+        offsets[r.part], before = before, before + r.n
+    after = F.create_map(*(x for k, v in offsets.items() for x in (F.lit(k), F.lit(v)))) if offsets else F.create_map().cast("map<bigint,int>")
+    numbered = placed.withColumn("nth", F.col("place").bitwiseAND((1 << 33) - 1) + after[part])
+    lines = numbered.select("place", F.concat(F.when(F.col("nth") > 0, ", ").otherwise(""), F.coalesce("input_json", F.lit("null"))).alias("line"))
+    ends = spark.createDataFrame([(-1, "["), ((1 << 63) - 1, "]")], "place long, line string")
+    at = scratch.folder()
+    lines.unionByName(ends).orderBy("place").select("line").write.text(f"{at}/parts", lineSep="\n")
+    Files(spark, at).joined(f"{at}/parts", f"{at}/queries.json")
+    found, listed = runs.stored_queries(spark, f"{at}/queries.json".removeprefix("file:"), scratch)
+    if found.count() != before:
+        raise ValueError(f"the file holds {found.count()} queries of {before}")
+    return numbered.select("id", "nth").join(found, "nth").select("id", F.get_json_object("query", "$.scene").alias("scene"), F.lit(listed).alias("listed"))
 
 
 @query("SELECT arg_min(value, event_id) AS first_loss, arg_max(value, event_id) AS last_loss, count(*) AS n FROM events WHERE value IS NOT NULL")

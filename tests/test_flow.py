@@ -13,7 +13,9 @@ from rowloom.operators.labels import Catalog
 from rowloom.operators.predict import FixedReply, predictions
 from rowloom.plans import config as cf
 from rowloom.plans import evaluate as ev
+from rowloom.plans import file_queries, queries  # noqa: F401
 from rowloom.plans import prepare as pr
+from rowloom.session import Scratch
 from rowloom.sources import annotations as an
 from rowloom.sources import catalogs, prepared, runs
 
@@ -243,6 +245,36 @@ def test_documents(tmp_path):
     assert set(files) == {"m.json", "q.json"} and len(one) == 64
 
 
+def test_queries_are_streamed(spark, tmp_path, monkeypatch):
+    path = tmp_path / "q.json"
+    given = [{"scene": "s" * n, "n": n, "x": [{"y": '"],[{'}]} for n in range(60)] + [12, None, "é灯", 1.5]
+    for part in (1, 2, 7, 1 << 20):
+        monkeypatch.setattr(runs, "PART", part)
+        for indent in (None, 2):
+            path.write_text(" \n" + json.dumps(given, ensure_ascii=False, indent=indent) + " \n", encoding="utf-8")
+            assert runs.read_queries(str(path)) == (given, True)
+        for text, want in (("[]", ([], True)), (' {"a": 1} ', ([{"a": 1}], False))):
+            path.write_text(text)
+            assert runs.read_queries(str(path)) == want
+        for text in ("", " ", "3", "[1, 2", "[1 2]", "[1,]", "[,1]", "[1]]", "[1] x", '[{"a": 1, "a": 2}]', "[NaN]", "[1e999]", '["\\ud800"]', "[" * 201 + "]" * 201, '[{"a"', '["x]'):
+            path.write_text(text)
+            with pytest.raises(runs.Refused):
+                runs.read_queries(str(path))
+    path.write_text(json.dumps(given))
+    found, listed = runs.stored_queries(spark, str(path), Scratch(spark), batch=10)
+    assert listed and [json.loads(r.query) for r in found.orderBy("nth").collect()] == given
+    held = next(runs.query_stream(str(path))[0])  # the first is there before the rest is decoded
+    assert held == given[0]
+
+
+def test_queries_file_does_not_collect_its_rows(spark, tmp_path, monkeypatch):
+    rows = [(f"i{n:02}", json.dumps({"scene": f"s {n}", "player_action": "a"})) for n in range(25)] + [("i03", json.dumps({"scene": "s 3", "player_action": "a"}))]
+    spark.createDataFrame(rows, "id string, input_json string").write.parquet(str(tmp_path / "prepared_rows.parquet"))
+    monkeypatch.setattr(runs, "read_queries", None)
+    got = queries.QUERIES["queries_file"](spark, str(tmp_path)).collect()
+    assert sorted((r.id, r.scene, r.listed) for r in got) == [(f"i{n:02}", f"s {n}", True) for n in range(25)]
+
+
 def test_commands(spark, config, tmp_path, capsys):
     from rowloom.__main__ import main
 
