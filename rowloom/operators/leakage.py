@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .similarity import similar_pairs
+from .similarity import similar_classes
 
 
 def trained(rows: DataFrame, train_ids: DataFrame, train_keys: DataFrame | None = None) -> DataFrame:
@@ -48,8 +48,12 @@ def training_relatives(
     if threshold is not None and train_texts is not None:
         keyed = others.select(F.concat(F.lit("r"), "id").alias("id"), "text", F.lit(0).alias("side"))
         seen = train_texts.select("text").distinct().select(F.concat(F.lit("t"), F.sha2("text", 256)).alias("id"), "text", F.lit(1).alias("side"))
-        near = similar_pairs(keyed.unionByName(seen), threshold, sides=True)
-        related = related.union(near.where("a LIKE 'r%'").select(F.expr("substring(a, 2)"))).union(near.where("b LIKE 'r%'").select(F.expr("substring(b, 2)")))
+        members, linked = similar_classes(keyed.unionByName(seen), threshold, sides=True)
+        # Classes that a training text is in or linked to; no pair is made.
+        trained = members.where("side = 1").select("content").distinct()
+        both = linked.select(F.col("ca").alias("content"), F.col("cb").alias("at")).union(linked.select("cb", "ca"))
+        near = both.join(trained, "content", "left_semi").select(F.col("at").alias("content")).union(trained)
+        related = related.union(members.where("side = 0").join(near, "content", "left_semi").select(F.expr("substring(id, 2)")))
     related = related.distinct()
     return related.union(_siblings(rows, related)).distinct().join(trained_ids, "id", "left_anti")
 
