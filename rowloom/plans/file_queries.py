@@ -330,11 +330,10 @@ def prepared_report(spark, folder):
     out = at.folder().removeprefix("file:")
     catalogs.write_catalog(_catalog_document(spark, folder), f"{out}/catalog.json")
     data = {"sources": annotation_files(spark, folder, at), "catalog": f"{out}/catalog.json", "prepared_dir": f"{out}/prepared", "near_duplicate_threshold": None}
-    prepare.prepare(spark, config.merged({"data": data}))
-    with open(f"{out}/prepared/report.json", encoding="utf-8") as f:
-        report = json.load(f)
-    counts = {b: n for b, n in report["counts"].items() if b in ("trainable", "eval_only", "pending", "skipped", "unsupported") and n}
-    listed = {b: len(report[b]) for b in counts if b in report}
+    path, _ = prepare.prepare_files(spark, config.merged({"data": data}))
+    known, sizes = prepare.report_sizes(str(path))
+    counts = {b: n for b, n in known.items() if b in ("trainable", "eval_only", "pending", "skipped", "unsupported") and n}
+    listed = {b: sizes[b] for b in counts if b in sizes}
     return spark.createDataFrame([(b, n if listed.get(b, n) == n else -1) for b, n in counts.items()], "bucket string, n long")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -79,9 +80,9 @@ def build(spark: SparkSession, config: dict, catalog: Catalog | None = None, blo
     return Prepared(scan, outcomes, split, near, scratch.keep(errors), scratch.keep(warnings))
 
 
-def report(made: Prepared) -> dict:
-    """One document: counts, and lists in order. It is what a person reads, as large as what has to be read."""
-    rows = lambda df, *order: [r.asDict(recursive=True) for r in df.orderBy(*order).collect()]
+def _report(made: Prepared) -> dict[str, dict | Iterator[dict]]:
+    """The parts of the report, counts and lists in order; lists come a partition at a time."""
+    rows = lambda df, *order: (r.asDict(recursive=True) for r in df.orderBy(*order).toLocalIterator())
     counts = bucket_counts(made.outcomes).first().asDict() | {f"split_{r.split}": r.n for r in splits.split_sizes(made.rows).collect()}
     counts["errors"] = made.errors.count()
     listed = made.outcomes.select("id", F.col("at").alias("source"), "bucket", "reason")
@@ -89,12 +90,51 @@ def report(made: Prepared) -> dict:
         "counts": counts,
         "sources": rows(made.scan.files, "source"),
         "errors": rows(made.errors, "source", "id", "message"),
-        "warnings": [r["warning"] for r in rows(made.warnings, "warning")],
+        "warnings": (r["warning"] for r in rows(made.warnings, "warning")),
         **{b: rows(listed.where(F.col("bucket") == b).drop("bucket"), "id") for b in ("unsupported", "pending", "skipped", "eval_only")},
         "near_duplicates": rows(made.near, "a", "b"),
     }
 
 
+def report(made: Prepared) -> dict:
+    """One document: counts, and lists in order. It is what a person reads, as large as what has to be read."""
+    return {k: v if isinstance(v, dict) else list(v) for k, v in _report(made).items()}
+
+
+def write_report(made: Prepared, path: str) -> dict:
+    """Write the report, entry by entry, and return its counts; no list is held as a whole."""
+    text = lambda v, deep: json.dumps(v, ensure_ascii=False, indent=2).replace("\n", "\n" + " " * deep)
+    parts = _report(made)
+    with open(path, "w", encoding="utf-8") as f:
+        for i, (name, part) in enumerate(parts.items()):
+            f.write(("{" if not i else ",") + f"\n  {text(name, 0)}: ")
+            if isinstance(part, dict):
+                f.write(text(part, 2))
+                continue
+            n = -1
+            for n, entry in enumerate(part):
+                f.write(("," if n else "[") + "\n    " + text(entry, 4))
+            f.write("\n  ]" if n >= 0 else "[]")
+        f.write("\n}\n")
+    return parts["counts"]
+
+
+def report_sizes(path: str) -> tuple[dict, dict[str, int]]:
+    """The counts of a written report and the length of each of its lists, from one pass over its lines."""
+    counts, sizes, name = [], {}, None
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            if line.startswith('  "'):
+                name, _, rest = line.strip().partition(": ")
+                name = json.loads(name)
+                sizes |= {name: 0} if rest.startswith("[") else {}
+            elif line.startswith("    ") and name == "counts":
+                counts.append(line)
+            elif name in sizes and line[:4] == "    " and line[4] not in " }":
+                sizes[name] += 1
+    return json.loads("{" + "".join(counts) + "}"), sizes
+
+
 def summary(document: dict) -> str:
     lines = ["counts: " + ", ".join(f"{k}={v}" for k, v in document["counts"].items())]
     lines += [f"WARNING {w}" for w in document["warnings"]]
@@ -104,15 +144,21 @@ def summary(document: dict) -> str:
     return "\n".join(lines)
 
 
-def prepare(spark: SparkSession, config: dict) -> dict:
-    """Build and write. The report is always written; with errors the split files of the last clean run stay."""
+def prepare_files(spark: SparkSession, config: dict) -> tuple[Path, dict]:
+    """Build and write; the path of the report and its counts. The report is always written; with errors the split files of
+    the last clean run stay."""
     made = build(spark, config)
     out = Path(config["data"]["prepared_dir"])
     out.mkdir(parents=True, exist_ok=True)
-    document = report(made)
-    if not document["errors"]:
+    counts = write_report(made, str(out / "report.json"))
+    if not counts["errors"]:
         hashes = prepared.write_splits(made.rows, str(out))
         settings = {k: config["data"][k] for k in SPLIT_KEYS}
-        write_document(str(out / prepared.PROVENANCE), {"sources": [{"path": s["source"], "sha256": s["sha256"]} for s in document["sources"]], "split_config": settings, "split_sha256": hashes})
-    (out / "report.json").write_text(json.dumps(document, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
-    return document
+        sources = [{"path": s.source, "sha256": s.sha256} for s in made.scan.files.orderBy("source").collect()]
+        write_document(str(out / prepared.PROVENANCE), {"sources": sources, "split_config": settings, "split_sha256": hashes})
+    return out / "report.json", counts
+
+
+def prepare(spark: SparkSession, config: dict) -> dict:
+    """`prepare_files`, with the report as a whole."""
+    return json.loads(prepare_files(spark, config)[0].read_text(encoding="utf-8"))

@@ -94,6 +94,15 @@ def test_prepare_writes_splits_and_report(spark, config):
     assert pr.summary(document).startswith("counts: ")
 
 
+def test_report_is_written_entry_by_entry(spark, config, monkeypatch):
+    monkeypatch.setattr(pr, "report", None)
+    path, counts = pr.prepare_files(spark, config)
+    document = json.loads(path.read_text(encoding="utf-8"))
+    assert path.read_text(encoding="utf-8") == json.dumps(document, ensure_ascii=False, indent=2) + "\n"
+    assert counts == document["counts"] and document["unsupported"] and document["warnings"] and not document["errors"]
+    assert pr.report_sizes(str(path)) == (counts, {k: len(v) for k, v in document.items() if k != "counts"})
+
+
 def test_errors_keep_the_last_clean_splits(spark, config, tmp_path):
     pr.prepare(spark, config)
     before = prepared.split_hashes(spark, config["data"]["prepared_dir"])
