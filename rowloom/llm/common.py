@@ -137,10 +137,13 @@ def variants(items: list, hashes: list[int], ignored: set[int]) -> list[tuple[in
 
 
 def _met(pairs: DataFrame, xs: DataFrame, ys: DataFrame, within: str) -> DataFrame:
-    """(x, y): a row of xs and one of ys, in one class and meeting `within`, or in ca and cb of paired classes."""
-    a, b = xs.select(F.col("cid").alias("ca"), F.col("id").alias("x")), ys.select(F.col("cid").alias("cb"), F.col("id").alias("y"))
-    same = a.join(b.withColumnRenamed("cb", "ca"), "ca").where(within).select("x", "y")
-    return same.unionByName(pairs.select("ca", "cb").join(a, "ca").join(b, "cb").select("x", "y"))
+    """(x, y, twice): a row of xs and one of ys, in one class and meeting `within`, or in ca and cb of paired classes; whether
+    one of them is `twice`."""
+    a = xs.select(F.col("cid").alias("ca"), F.col("id").alias("x"), F.col("twice").alias("xt"))
+    b = ys.select(F.col("cid").alias("cb"), F.col("id").alias("y"), F.col("twice").alias("yt"))
+    out = "x", "y", (F.col("xt") | F.col("yt")).alias("twice")
+    same = a.join(b.withColumnRenamed("cb", "ca"), "ca").where(within).select(*out)
+    return same.unionByName(pairs.select("ca", "cb").join(a, "ca").join(b, "cb").select(*out))
 
 
 def expand_pairs(pairs: DataFrame, members: DataFrame, limit: int, scratch: Scratch, across: bool = False) -> DataFrame:
@@ -154,21 +157,27 @@ def expand_pairs(pairs: DataFrame, members: DataFrame, limit: int, scratch: Scra
     and are the same whether `across` or taken from all pairs.
     """
     key = ["cid", "tid", "side"]
-    groups = members.groupBy(*key).agg(F.count("*").alias("n"), F.min("id").alias("rep"))
-    large = scratch.keep(groups.where(F.col("n") > limit).select(*key, "rep"))
+    # Two rows that each have one place among the members meet once: their pairs are distinct without being shuffled.
+    places = members.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id", F.lit(True).alias("twice"))
+    places = scratch.keep(places, free=True)
+    repeated = not places.isEmpty()
+    members = members.join(places, "id", "left").withColumn("twice", F.coalesce("twice", F.lit(False))) if repeated else members.withColumn("twice", F.lit(False))
+    groups = members.groupBy(*key).agg(F.count("*").alias("n"), F.min("id").alias("rep"), F.min_by("twice", "id").alias("twice"))
+    large = scratch.keep(groups.where(F.col("n") > limit).select(*key, "rep", F.col("twice").alias("rep_twice")), free=True)
     some = not large.isEmpty()
-    standing = members.join(large, key, "left").where("rep IS NULL OR rep = id").drop("rep") if some else members
+    standing = members.join(large, key, "left").where("rep IS NULL OR rep = id").drop("rep", "rep_twice") if some else members
     train, held = F.col("side") == "t", F.col("side") == "h"
     found = _met(pairs, standing.where(train), standing.where(held), "true") if across else _met(pairs, standing, standing, "x < y")
     if some:
         rest = members.join(large, key).where("id <> rep")
-        first = groups.select("cid", "side", F.col("rep").alias("id"))
+        first = groups.select("cid", "side", F.col("rep").alias("id"), "twice")
         both = pairs if across else pairs.select("ca", "cb").union(pairs.select("cb", "ca"))
         found = found.unionByName(_met(both, rest.where(train), first.where(held), "true")).unionByName(_met(both, first.where(train), rest.where(held), "true"))
         if not across:
-            found = found.unionByName(rest.select(F.col("rep").alias("x"), F.col("id").alias("y")))
-    ends = found.where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-    return ends.distinct()
+            found = found.unionByName(rest.select(F.col("rep").alias("x"), F.col("id").alias("y"), (F.col("twice") | F.col("rep_twice")).alias("twice")))
+    ends = F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")
+    found = found.where("x <> y")
+    return found.where("NOT twice").select(*ends).unionByName(found.where("twice").select(*ends).distinct()) if repeated else found.select(*ends)
 
 
 def jaccard(a: Column, b: Column) -> Column:

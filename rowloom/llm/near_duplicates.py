@@ -16,6 +16,8 @@ least `match` of them are held against the exact similarity.
   posting carries sixteen bits of them beside the 48 of its own value, and they are compared only for pairs that met
   in the prefix. A value that one class alone has is skipped, and a pair whose prefix count and rest stay below
   `match` ends there. Values held by more than `HOT` classes are paired in blocks, see `postings`.
+* Pairs that cannot reach the similarity end in the task in which they meet, by a bound of `postings` that loses no
+  other pair. The lists are merged in `ROUNDS`, so that the postings of one round alone are on disk at a time.
 
 Expected recall is 1 - P(Binomial(K, J'^width) < match), J' being the similarity of the words that count: above
 0.99 for J' = 0.66 (to which ignored words can lower a J of 0.7) and above 0.9999 for J' = 0.8. The README has
@@ -25,16 +27,15 @@ measured figures.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
 from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
-from .postings import meetings, pairs_within
+from .postings import meetings, pairs_within, posted_table, rounds_of, word_bits
 
 COORDINATES, WIDTH, MATCH = 50, 5, 2
-HOT, REST = 4_000, 16
+HOT, REST, ROUNDS = 4_000, 16, 5
 FREQUENT = 0.3
 SIMILARITY = 0.7
 EXPAND_LIMIT = 1000
@@ -54,9 +55,9 @@ class Signer:
         self.mix = rng.integers(1, 1 << 63, width, dtype=np.uint64) | np.uint64(1)
         self.at = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64)
 
-    def sign(self, sets: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(owners, keys): the places of the sets and the coordinate values of each, twice for a set with two variants. No
-        set is empty."""
+    def sign(self, sets: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(owners, keys, low, high): the places of the sets, the coordinate values of each and the bits of its words, twice for
+        a set with two variants. No set is empty."""
         known: dict[str, int] = {}
         hashes: list[int] = []
         owners, kinds, starts, flat = [], [], [], []
@@ -83,25 +84,30 @@ class Signer:
             salt = self.at + np.array(kinds[lo:hi], np.uint64)[:, None] * _STEP
             keys = (mixed + salt) * _MIX
             out[lo:hi] = keys ^ keys >> np.uint64(32)
-        return np.array(owners, "int64"), out
+        low, high = (np.bitwise_or.reduceat(bits[flat_at], begin[:-1]) if len(owners) else np.empty(0, np.uint64) for bits in word_bits(x))
+        return np.array(owners, "int64"), out, low, high
 
 
 def signatures(table: DataFrame, coordinates: int, width: int, match: int, frequent: float) -> DataFrame:
-    """(cid, keys) of each class of a word table, once per task of it and variant: the values of the first K - match + 1
+    """`posted_table` of each class of a word table, once per task of it and variant: the values of the first K - match + 1
     coordinates, each over `REST` bits of the others."""
     ignored = frequent_words(table, frequent)
     prefix, bits = coordinates - match + 1, _bits(match)
     shifts = np.arange(match - 1, dtype=np.uint64) * np.uint64(bits)
+    parts = np.array_split(np.arange(prefix), min(ROUNDS, prefix))
 
     def run(batches):
         signer = Signer(coordinates, width, ignored)
         for b in batches:
-            owners, keys = signer.sign([ws.split(" ") for ws in b["words"]])
+            sets = [ws.split(" ") for ws in b.column("words").to_pylist()]
+            owners, keys, low, high = signer.sign(sets)
             rest = ((keys[:, prefix:] >> np.uint64(64 - bits)) << shifts).sum(axis=1, dtype=np.uint64)
             packed = (keys[:, :prefix] & ~np.uint64((1 << REST) - 1)) | rest[:, None]
-            yield pd.DataFrame({"cid": b["cid"].to_numpy()[owners], "keys": list(packed.view(np.int64))})
+            load = np.array([len(ws) for ws in sets], "int64")[owners] << 32
+            each = [(np.arange(len(owners) + 1) * len(part), packed[:, part].ravel()) for part in parts]
+            yield b.column("cid").to_numpy(zero_copy_only=False)[owners], load, low, high, each
 
-    return table.where("words IS NOT NULL").select("cid", "words").mapInPandas(run, "cid long, keys array<long>")
+    return posted_table(table.where("words IS NOT NULL").select("cid", "words"), len(parts), run)
 
 
 def _bits(match: int) -> int:
@@ -115,17 +121,18 @@ def class_pairs(table: DataFrame, signed: DataFrame, match: int, similarity: flo
     low = (1 << bits) - 1
 
     def fold(ka, kb, la, lb):
-        return None, sum(((ka >> s & low) == (kb >> s & low) for s in range(0, bits * (match - 1), bits)), np.zeros(len(ka)))
+        return sum(((ka >> s & low) == (kb >> s & low) for s in range(0, bits * (match - 1), bits)), np.zeros(len(ka)))
 
     def folded(ka, kb, la, lb):
         at = lambda c, s: F.shiftright(c, s).bitwiseAND(low)
-        return F.lit(True), sum(((at(ka, s) == at(kb, s)).cast("int") for s in range(0, bits * (match - 1), bits)), F.lit(0))
+        return sum(((at(ka, s) == at(kb, s)).cast("int") for s in range(0, bits * (match - 1), bits)), F.lit(0))
 
-    posted = signed.select(F.explode("keys").alias("key"), "cid")
-    met = meetings(posted, REST, pairs_within, fold, hot, scratch, lambda ka, kb: F.col("ca") < F.col("cb"), folded)
+    signed = scratch.keep(signed)
+    met = meetings(rounds_of(signed), REST, similarity, pairs_within, fold, hot, scratch, lambda ka, kb: F.col("ca") < F.col("cb"), folded)
+    scratch.drop(signed)
     ends = F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")
     met = met.select(*ends, "v").groupBy("ca", "cb").agg(F.count("*").alias("n"), F.max("v").alias("rest"))
-    pairs = scratch.keep(met.where(F.col("n") + F.col("rest") >= match).select("ca", "cb"))
+    pairs = scratch.keep(met.where(F.col("n") + F.col("rest") >= match).select("ca", "cb"), free=True)
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
     texts = table.where("words IS NOT NULL").select("cid", "words").join(ends, "cid", "left_semi").dropDuplicates(["cid"])
     a = texts.select(F.col("cid").alias("ca"), F.col("words").alias("wa"))
@@ -163,7 +170,7 @@ def near_duplicates(
     table = word_table(row_texts(rows.withColumn("side", side), "side"), scratch)
     signed = signatures(table, coordinates, width, match, frequent)
     members = table.where("id IS NOT NULL").select("cid", "tid", "side", "id").distinct()
-    linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch, hot))
+    linked = scratch.keep(class_pairs(table, signed, match, similarity, scratch, hot), free=True)
     return expand_pairs(linked, members, expand_limit, scratch), members.select("id", "cid").distinct(), linked
 
 

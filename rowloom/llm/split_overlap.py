@@ -14,6 +14,8 @@ order leaves others whole. Pairs whose fraction reaches `overlap` are held again
   `variants`); they count in the exact check.
 * A chunk that is not shared meets nothing in the join; records of one split never meet. Chunks that more than `HOT`
   records share are paired in blocks, see `postings`.
+* Pairs that cannot reach the similarity end in the task in which they meet, by a bound of `postings` that loses no
+  other pair. The orders are joined in `ROUNDS`, so that the chunks of one round alone are shuffled at a time.
 
 `overlap` is two shared chunks or more for most lengths. Two records of similarity 0.7 have a fraction of about 0.05, and one
 below `overlap` in about one of 200 cases at the worst length, 34 words. The README has measured figures.
@@ -22,15 +24,14 @@ below `overlap` in about one of 200 cases at the worst length, 34 words. The REA
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship
 from .common import expand_pairs, frequent_words, hash_word, jaccard, row_texts, side_of, variants, word_table
-from .postings import meetings, pairs_across
+from .postings import CARRIED, meetings, pairs_across, posted_table, rounds_of, word_bits
 
-PASSES, CUT, OVERLAP = 20, 2, 0.0075
+PASSES, CUT, OVERLAP, ROUNDS = 20, 2, 0.0075, 5
 FREQUENT, SIMILARITY, EXPAND_LIMIT, HOT = 0.3, 0.7, 1000, 4_000
 #: Low bits of a digest: the chunk's number of words, below 256 but for a chance of 2 ** -255, and above them the side.
 LENGTH_BITS, SIDE_BIT, SHIFT = 8, 8, 9
@@ -63,8 +64,9 @@ class Chunker:
             out.append(h)
         return out
 
-    def chunks(self, sets: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(owner, digest, words of the variant) of every posted chunk. Records of one length are cut together."""
+    def chunks(self, sets: list[list[str]]) -> tuple[tuple, tuple]:
+        """(owner, words, low, high) of every variant of a record, the last two being the bits of its words, and (variant,
+        pass, digest) of every posted chunk. Records of one length are cut together."""
         by_length: dict[tuple[int, int], tuple[list, list]] = {}
         for owner, ws in enumerate(sets):
             hashes = self.hashes(ws)
@@ -72,16 +74,20 @@ class Chunker:
                 owners, rows = by_length.setdefault((len(some), kind), ([], []))
                 owners.append(owner)
                 rows.append(some)
-        parts = []
+        found, cut, n_found = [(np.empty(0, "int64"),) * 4], [(np.empty(0, "int64"),) * 3], 0
         for (n, kind), (owners, rows) in by_length.items():
             step = max(1, 200_000 // (n * len(self.turns)))
             for lo in range(0, len(rows), step):
-                at, digests = self.cut_rows(np.array(rows[lo : lo + step], "int64").view(np.uint64), kind)
-                parts.append((np.array(owners[lo : lo + step], "int64")[at], digests, np.full(len(at), n, "int64")))
-        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.array([], "int64"),) * 3
-
-    def cut_rows(self, hashes: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, digest) of the chunks of records of one length. A word's hash, turned for the pass, orders it, and is
+                some = np.array(rows[lo : lo + step], "int64").view(np.uint64)
+                bits = (np.bitwise_or.reduce(x, axis=1).view("int64") for x in word_bits(some))
+                found.append((np.array(owners[lo : lo + step], "int64"), np.full(len(some), n, "int64"), *bits))
+                at, turn, digests = self.cut_rows(some, kind)
+                cut.append((at + n_found, turn, digests))
+                n_found += len(some)
+        return tuple(np.concatenate(x) for x in zip(*found)), tuple(np.concatenate(x) for x in zip(*cut))
+
+    def cut_rows(self, hashes: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, pass, digest) of the chunks of records of one length. A word's hash, turned for the pass, orders it, and is
         the rolling hash behind it: its upper part says whether a chunk ends there."""
         rows, n = hashes.shape
         passes = len(self.turns)
@@ -100,24 +106,31 @@ class Chunker:
         digests ^= digests >> np.uint64(32)
         digests = (digests << np.uint64(SHIFT)) | np.minimum(length, (1 << LENGTH_BITS) - 1).astype(np.uint64)
         some = length >= least_length(n)
-        return where[some] // passes, digests[some].view(np.int64)
+        return where[some] // passes, where[some] % passes, digests[some].view(np.int64)
 
 
 def chunked(table: DataFrame, passes: int, cut: int, ignored: np.ndarray) -> DataFrame:
-    """(key, cid, load): the chunks of each class and side of a word table; `key` has the side in `SIDE_BIT` (1: train),
+    """`posted_table` of the chunks of each class and side of a word table: `key` has the side in `SIDE_BIT` (1: train),
     `load` the class's number of words over that of its variant."""
+    rounds = min(ROUNDS, passes)
 
     def run(batches):
         chunker = Chunker(passes, cut, ignored)
         for b in batches:
-            sets = [ws.split(" ") for ws in b["words"]]
-            owner, digest, n = chunker.chunks(sets)
-            train = (b["side"] == "t").to_numpy().astype("int64")
+            sets = [ws.split(" ") for ws in b.column("words").to_pylist()]
+            (owner, n, low, high), (at, turn, digest) = chunker.chunks(sets)
+            train = np.array([x == "t" for x in b.column("side").to_pylist()], "int64")
             words = np.array([len(ws) for ws in sets], "int64")
-            yield pd.DataFrame({"key": digest | train[owner] << SIDE_BIT, "cid": b["cid"].to_numpy()[owner], "load": words[owner] << 32 | n})
+            keys = digest | train[owner[at]] << SIDE_BIT
+            turn = turn * rounds // passes
+            each = []
+            for i in range(rounds):
+                own = np.flatnonzero(turn == i)
+                own = own[np.argsort(at[own], kind="stable")]
+                each.append((np.r_[0, np.cumsum(np.bincount(at[own], minlength=len(owner)))], keys[own]))
+            yield b.column("cid").to_numpy(zero_copy_only=False)[owner], words[owner] << 32 | n, low, high, each
 
-    texts = table.where("words IS NOT NULL").select("cid", "side", "words")
-    return texts.mapInPandas(run, "key long, cid long, load long")
+    return posted_table(table.where("words IS NOT NULL").select("cid", "side", "words"), rounds, run)
 
 
 def _sided_words(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -144,28 +157,27 @@ def split_overlaps(
     spark = ship(rows.sparkSession)
     scratch = Scratch(spark)
     table = _sided_words(rows, scratch)
-    posted = chunked(table, passes, cut, frequent_words(table, frequent))
+    signed = scratch.keep(chunked(table, passes, cut, frequent_words(table, frequent)))
 
     def fold(ka, kb, la, lb):
-        """A chunk's share of the smaller record. Sets whose sizes differ by more than the similarity allows cannot reach it."""
-        na, nb = la >> 32, lb >> 32
-        share = (ka & ((1 << LENGTH_BITS) - 1)) / (passes * np.minimum(la & 0xFFFFFFFF, lb & 0xFFFFFFFF))
-        return np.minimum(na, nb) >= similarity * np.maximum(na, nb), share
+        """A chunk's share of the smaller record."""
+        return (ka & ((1 << LENGTH_BITS) - 1)) / (passes * np.minimum(la & 0xFFFFFFFF, lb & 0xFFFFFFFF))
 
     def folded(ka, kb, la, lb):
-        na, nb, ma, mb = F.shiftright(la, 32), F.shiftright(lb, 32), la.bitwiseAND(0xFFFFFFFF), lb.bitwiseAND(0xFFFFFFFF)
-        return F.least(na, nb) >= similarity * F.greatest(na, nb), ka.bitwiseAND((1 << LENGTH_BITS) - 1) / (passes * F.least(ma, mb))
+        ma, mb = la.bitwiseAND(0xFFFFFFFF), lb.bitwiseAND(0xFFFFFFFF)
+        return ka.bitwiseAND((1 << LENGTH_BITS) - 1) / (passes * F.least(ma, mb))
 
     train = lambda k: F.shiftright(k, SIDE_BIT).bitwiseAND(1) == 1
-    met = meetings(posted, SHIFT, pairs_across(SIDE_BIT), fold, hot, scratch, lambda ka, kb: train(ka) & ~train(kb), folded)
-    pairs = scratch.keep(met.where("ca <> cb").groupBy("ca", "cb").agg(F.sum("v").alias("share")).where(F.col("share") >= overlap).select("ca", "cb"))
+    met = meetings(rounds_of(signed), SHIFT, similarity, pairs_across(SIDE_BIT), fold, hot, scratch, lambda ka, kb: train(ka) & ~train(kb), folded)
+    scratch.drop(signed)
+    pairs = scratch.keep(met.where("ca <> cb").groupBy("ca", "cb").agg(F.sum("v").alias("share")).where(F.col("share") >= overlap).select("ca", "cb"), free=True)
     word_rows = table.where("words IS NOT NULL").select("cid", "words")
     ends = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct()
     known = word_rows.join(ends, "cid", "left_semi").dropDuplicates(["cid"])
     wa, wb = known.select(F.col("cid").alias("ca"), F.col("words").alias("wa")), known.select(F.col("cid").alias("cb"), F.col("words").alias("wb"))
     alike = pairs.join(wa, "ca").join(wb, "cb").where(jaccard(F.col("wa"), F.col("wb")) >= similarity).select("ca", "cb")
     members = table.where("id IS NOT NULL").select("cid", "tid", "side", "id").distinct()
-    return expand_pairs(scratch.keep(alike), members, expand_limit, scratch, across=True)
+    return expand_pairs(scratch.keep(alike, free=True), members, expand_limit, scratch, across=True)
 
 
 def record_overlaps(rows: DataFrame, passes: int = PASSES, cut: int = CUT, frequent: float = FREQUENT) -> DataFrame:
@@ -178,7 +190,9 @@ def record_overlaps(rows: DataFrame, passes: int = PASSES, cut: int = CUT, frequ
     scratch = Scratch(spark)
     table = _sided_words(rows, scratch)
     train, bits = F.shiftright("key", SIDE_BIT).bitwiseAND(1), F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1)
-    posted = chunked(table, passes, cut, frequent_words(table, frequent)).select(F.shiftright("key", SHIFT).alias("digest"), train.alias("side"), bits.alias("words"), "cid")
+    signed = chunked(table, passes, cut, frequent_words(table, frequent))
+    keys = signed.select(F.explode(F.concat(*signed.columns[1 + len(CARRIED) :])).alias("key"), "cid")
+    posted = keys.select(F.shiftright("key", SHIFT).alias("digest"), train.alias("side"), bits.alias("words"), "cid")
     # A digest's sides come from an aggregate that is one row per task and digest before it is shuffled.
     both = posted.groupBy("digest").agg(F.min("side").alias("lo"), F.max("side").alias("hi")).where("lo <> hi").select("digest", F.lit(1).alias("shared"))
     sums = posted.distinct().join(both, "digest", "left").groupBy("cid", "side").agg((F.sum(F.col("words") * F.coalesce("shared", F.lit(0))) / F.sum("words")).alias("overlap"))

@@ -2,11 +2,14 @@
 
 import random
 
+import pytest
+
 from rowloom.llm import format_duplicates as fd
 from rowloom.llm import near_duplicates as nd
 from rowloom.llm import same_looking as sl
 from rowloom.llm import split_overlap as so
 from rowloom.llm.plainform import words
+from rowloom.session import Scratch
 
 from .conftest import as_input, pairs
 
@@ -150,6 +153,50 @@ def test_record_overlaps(rows):
     assert out["t0"] == ("t", 1.0) and out["v0"] == ("h", 1.0) and out["v2"][1] == out["t1"][1] == 0 and 0.1 < out["v1"][1] < 0.9
 
 
+def meeting(n):
+    """Unlike texts of few words, whose signatures and chunks meet by chance, and two that are alike."""
+    few = [f"w{k}" for k in range(60)]
+    texts = {f"m{k:03}": " ".join(random.Random(k).sample(few, 25)) for k in range(n)}
+    return texts | {"z0": text(1), "z1": edited(text(1), 3, 1)}
+
+
+@pytest.fixture
+def kept(monkeypatch):
+    """Rows of pairs of classes in each scratch table that is written."""
+    out, keep = [], Scratch.keep
+
+    def counted(self, df, **more):
+        got = keep(self, df, **more)
+        out.append(got.where("cb IS NOT NULL").count() if "cb" in got.columns else 0)
+        return got
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    return out
+
+
+def test_unlike_texts_that_meet_are_not_kept(rows, kept):
+    texts = meeting(300)
+    found = pairs(nd.near_duplicates(rows(*({"id": i, "similarity_text": t} for i, t in texts.items())))[0], "id_a", "id_b")
+    assert found == brute(texts) and ("z0", "z1") in found
+    assert 0 < max(kept) <= 50 * len(found)
+    for hot in (1, 7):
+        assert pairs(nd.near_duplicates(rows(*({"id": i, "similarity_text": t} for i, t in texts.items())), hot=hot)[0], "id_a", "id_b") == found
+
+
+def test_pairs_are_not_shuffled_to_be_distinct(rows):
+    """Neither with rows of one text each nor, with repeated ids, twice in the result."""
+    texts = corpus()
+    given = [{"id": i, "similarity_text": t, "split": "train" if k % 2 else "val"} for k, (i, t) in enumerate(texts.items())]
+    last = lambda df: df._jdf.queryExecution().optimizedPlan().nodeName()
+    assert last(nd.near_duplicates(rows(*given, *given))[0]) == last(so.split_overlaps(rows(*given, *given))) == "Union"
+    again = [{"id": r["id"], "similarity_text": r["similarity_text"] + " more", "split": ("val", "train")[k % 2]} for k, r in enumerate(given[:90])]
+    for limit in (1, 3, 1000):
+        found = pairs(nd.near_duplicates(rows(*given, *again), expand_limit=limit)[0], "id_a", "id_b")
+        across = pairs(so.split_overlaps(rows(*given, *again), expand_limit=limit), "id_a", "id_b")
+        assert across <= found and ("y0", "y1") in found
+        assert len(across) > 60
+
+
 def test_empty(rows):
     assert nd.near_duplicates(rows())[0].count() == 0
     assert so.split_overlaps(rows()).count() == 0
