@@ -183,6 +183,14 @@ def test_unlike_texts_that_meet_are_not_kept(rows, kept):
         assert pairs(nd.near_duplicates(rows(*({"id": i, "similarity_text": t} for i, t in texts.items())), hot=hot)[0], "id_a", "id_b") == found
 
 
+def test_unlike_texts_of_two_splits_that_share_chunks_are_not_kept(rows, kept):
+    texts = meeting(300)
+    given = [{"id": i, "similarity_text": t, "split": "train" if int(i[1:]) % 2 else "test"} for i, t in texts.items()]
+    found = pairs(so.split_overlaps(rows(*given)), "id_a", "id_b")
+    assert found == {(a, b) for a, b in brute(texts) if (int(a[1:]) + int(b[1:])) % 2} and ("z0", "z1") in found
+    assert 0 < max(kept) <= 50 * len(found)
+
+
 def test_pairs_are_not_shuffled_to_be_distinct(rows):
     """Neither with rows of one text each nor, with repeated ids, twice in the result."""
     texts = corpus()
